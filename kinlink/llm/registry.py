@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import warc
+from . import quality, warc
 
-QUERIES = {"op3_warc": warc.op3_warc}
+QUERIES = {"op3_warc": warc.op3_warc, "op8_quality": quality.op8_quality}
 ORACLE_SQL = {**warc.SQL}
