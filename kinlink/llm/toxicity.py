@@ -28,7 +28,10 @@ from .labelled import isotonic, labelled_sample
 
 #: Labelled rows at most for lexicon, trees and calibration together.
 FIT_ROWS = 20_000
-LEXICON_SIZE, LEXICON_MIN_DOCS = 400, 4
+#: Learned entries are whole words and word beginnings of STEMS bytes, so that
+#: inflected forms count; each must lean to label 1 by both its log-odds and their z.
+LEXICON_SIZE, LEXICON_MIN_DOCS, LEXICON_Z, LEXICON_ODDS = 2000, 4, 3.0, 2.0
+STEMS = (4, 5, 6, 7)
 NEAR = 5
 INSULTS = ("idiot idiots moron morons stupid dumb fool loser losers trash garbage scum filth worthless pathetic disgusting clown jerk "
            "hate kill die ugly vermin freak creep liar shut bastard damn hell crap imbecile cretin").split()
@@ -73,10 +76,11 @@ def _sum(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data, off):
-    """Hashes of lower-cased alphanumeric words, and each text's first word."""
+    """Hashes of lower-cased alphanumeric words, their spans, each text's first word, prefix hashes."""
     low = K.LOWER[data]
     s, e, first = K.words(low, off, GAP)
-    return K.mix(K.Prefix(low).span(s, e)), s, e, first
+    px = K.Prefix(low)
+    return K.mix(px.span(s, e)), s, e, first, px
 
 
 def plain_hashes(data, off):
@@ -88,12 +92,21 @@ def plain_hashes(data, off):
     return K.mix(K.Prefix(plain).span(s, e)), first
 
 
+def stem_hashes(px: K.Prefix, s: np.ndarray, e: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first n bytes of longer words, and which words those are."""
+    at = np.flatnonzero(e - s > n)
+    return K.mix(px.span(s[at], s[at] + n) + K.U(n)), at
+
+
 def features(data: np.ndarray, off: np.ndarray, learned: np.ndarray) -> np.ndarray:
     n = len(off) - 1
-    h, s, e, first = word_hashes(data, off)
+    h, s, e, first, px = word_hashes(data, off)
     p, p_first = plain_hashes(data, off)
     words, size = np.maximum(np.diff(first), 1), np.maximum(np.diff(off), 1)
     seed, lex, you = _in(h, SEED_HASHES), _in(h, learned), _in(h, YOU_HASHES)
+    for k in STEMS:
+        stem, at = stem_hashes(px, s, e, k)
+        lex[at] |= _in(stem, learned)
     hit = seed | lex
     row = K.row_of(first)
     # hits with a second-person word within NEAR words of the same text
@@ -189,14 +202,16 @@ class ToxicityModel:
 
 
 def _lexicon(sample: DataFrame) -> np.ndarray:
-    """Hashes of words whose document frequency leans most to label 1 (log-odds over its error)."""
+    """Hashes of words and stems whose document frequency leans most to label 1."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, off in K.chunked(batch.column("text")):
-                h, _, _, first = word_hashes(data, off)
+                h, s, e, first, px = word_hashes(data, off)
                 y = batch.column("y").slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
                 row = K.row_of(first)
+                stems = [stem_hashes(px, s, e, k) for k in STEMS]
+                h, row = np.concatenate([h, *[x for x, _ in stems]]), np.concatenate([row, *[row[at] for _, at in stems]])
                 order = np.lexsort((h, row))
                 h, row = h[order], row[order]
                 new = np.ones(len(h), bool)
@@ -214,7 +229,7 @@ def _lexicon(sample: DataFrame) -> np.ndarray:
     a, b = F.col("a") + F.lit(0.5), F.col("n") - F.col("a") + F.lit(0.5)
     odds = F.log(a / (F.lit(n1 + 1.0) - a)) - F.log(b / (F.lit(n0 + 1.0) - b))
     z = odds / F.sqrt(1 / a + 1 / b)
-    rows = t.where(F.col("a") >= LEXICON_MIN_DOCS).select("word", z.alias("z")).where("z > 3.5").orderBy(F.desc("z"), "word").limit(LEXICON_SIZE).collect()
+    rows = t.where(F.col("a") >= LEXICON_MIN_DOCS).select("word", z.alias("z"), odds.alias("odds")).where((F.col("z") > LEXICON_Z) & (F.col("odds") > LEXICON_ODDS)).orderBy(F.desc("z"), "word").limit(LEXICON_SIZE).collect()
     return np.sort(np.array([r["word"] for r in rows], np.int64).view(K.U))
 
 
