@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality, warc
+from . import licences, quality, toxicity, warc
 
-QUERIES = {"op3_warc": warc.op3_warc, "op8_quality": quality.op8_quality}
-ORACLE_SQL = {**warc.SQL}
+QUERIES = {
+    "op3_warc": warc.op3_warc,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op8_quality": quality.op8_quality,
+    "op10_licences": licences.op10_licences,
+}
+ORACLE_SQL = {**warc.SQL, **licences.SQL}
