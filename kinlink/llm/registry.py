@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import licences, quality, quotes, toxicity, warc
+from . import licences, pieces, quality, quotes, toxicity, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_toxicity": toxicity.op4_toxicity,
     "op7_quotes": quotes.op7_quotes,
     "op8_quality": quality.op8_quality,
+    "op9_pieces": pieces.op9_pieces,
     "op10_licences": licences.op10_licences,
 }
 ORACLE_SQL = {**warc.SQL, **quotes.SQL, **licences.SQL}
