@@ -82,7 +82,7 @@ class PieceModel:
         self.slots = np.searchsorted(slot[order], np.arange((1 << _SLOT_BITS) + 1)).astype(np.int32)
         self.depth = int(np.diff(self.slots).max())
         self.longest = max(len(p.decode()) for p in self.pieces)
-        self.unk = float(self.scores.min()) - UNK_PENALTY
+        self.unk = float(self.scores[self.scores > -1e8].min(initial=0.0)) - UNK_PENALTY
         self.lookup = {p: i for i, p in enumerate(self.pieces) if p}
         text = [bytes([np.flatnonzero(self.byte_ids == i)[0]]) if not p and (self.byte_ids == i).any() else p for i, p in enumerate(self.pieces)]
         self.text, self.text_off = np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in text])])
