@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import licences, pieces, quality, quotes, toxicity, warc
+from . import licences, minhash, pieces, quality, quotes, toxicity, warc
 
 QUERIES = {
+    "op1_minhash": minhash.op1_minhash,
     "op3_warc": warc.op3_warc,
     "op4_toxicity": toxicity.op4_toxicity,
     "op7_quotes": quotes.op7_quotes,
@@ -12,4 +13,4 @@ QUERIES = {
     "op9_pieces": pieces.op9_pieces,
     "op10_licences": licences.op10_licences,
 }
-ORACLE_SQL = {**warc.SQL, **quotes.SQL, **licences.SQL}
+ORACLE_SQL = {**minhash.SQL, **warc.SQL, **quotes.SQL, **licences.SQL}
