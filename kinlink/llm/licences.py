@@ -8,8 +8,9 @@ verified: the template's mandatory phrase must stand there word for word, and at
 least ``MIN_MATCH`` of all template words must agree.  The template library and its
 vocabulary are the only things broadcast or collected, and both are constants.
 
-No shuffle carries text: the corpus is read once for document frequencies (a partial
-aggregation over at most the vocabulary's size) and once for the scan itself.
+No shuffle carries text: one pass over the corpus writes each text's licence words, and
+its word sequence only where all words of some phrase occur; document frequencies (a
+partial aggregation over at most the vocabulary's size) and the scan read that table.
 
 Defined cases: a null text is empty; an empty text has no words, null positions, empty
 labels and score 0; repeated rows are scanned alike; words after lower-casing A-Z are
@@ -18,9 +19,14 @@ runs of 0-9, a-z and anything beyond ASCII.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import materialise
+
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -72,14 +78,22 @@ def _holds_all(held: Column, phrase: list[str]) -> Column:
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    d = docs.select(F.col("doc_id"), F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)).alias("words"))
-    return d.withColumn("held", F.array_intersect("words", _strings(VOCABULARY)))
+    """doc_id, n_words, held (vocabulary words), and words where a whole phrase may stand.
+
+    lower() also changes letters beyond ASCII, which no template has; the one that it
+    would turn into an ASCII letter, the Kelvin sign, is replaced before.
+    """
+    text = F.lower(F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit("\u212a"), F.lit("\u00e5")))
+    d = docs.select("doc_id", F.array_remove(F.split(text, GAP), "").alias("words"))
+    d = d.select("doc_id", "words", F.array_intersect("words", _strings(VOCABULARY)).alias("held"))
+    phrases = [p for p, _ in BASE] + [p for _, _, p in TEMPLATES]
+    any_phrase = reduce(lambda x, y: x | y, [_holds_all(F.col("held"), p.split()) for p in phrases])
+    return d.select("doc_id", F.size("words").cast("long").alias("n_words"), "held", F.when(any_phrase, F.col("words")).otherwise(F.array().cast("array<string>")).alias("words"))
 
 
-def document_frequencies(docs: DataFrame) -> dict[str, int]:
+def document_frequencies(parsed: DataFrame) -> dict[str, int]:
     """Texts holding each vocabulary word; as many rows as the vocabulary at most."""
-    rows = _with_words(docs).select(F.explode("held").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = parsed.select(F.explode("held").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     return {w: 0 for w in VOCABULARY} | {r["word"]: r["n"] for r in rows}
 
 
@@ -103,11 +117,11 @@ def _verified(words: Column, held: Column, notice: list[str], phrase: list[str],
     return F.when(_holds_all(held, phrase), F.when(best >= MIN_MATCH, best))
 
 
-def scan(docs: DataFrame, frequencies: dict[str, int] | None = None) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """One row per text: base places and labels, verified labels and score."""
-    df = document_frequencies(docs) if frequencies is None else frequencies
     words, held = F.col("words"), F.col("held")
-    d = _with_words(docs)
+    d = materialise(_with_words(docs), "licence-words")
+    df = document_frequencies(d)
     none = F.array().cast("array<int>")
 
 
@@ -117,7 +131,7 @@ def scan(docs: DataFrame, frequencies: dict[str, int] | None = None) -> DataFram
 
     base = [phrase_places(p.split()).alias(f"b{k}") for k, (p, _) in enumerate(BASE)]
     found = [_verified(words, held, t.split(), p.split(), df).alias(f"t{k}") for k, (_, t, p) in enumerate(TEMPLATES)]
-    d = d.select("doc_id", F.size("words").cast("long").alias("n_words"), *base, *found)
+    d = d.select("doc_id", "n_words", *base, *found)
     places = F.concat(*[F.col(f"b{k}") for k in range(len(BASE))])
     labels = [F.when(F.size(f"b{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE)]
     more = [F.when(F.col(f"t{k}").isNotNull(), F.lit(label)) for k, (label, _, _) in enumerate(TEMPLATES)]
