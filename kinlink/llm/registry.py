@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import licences, minhash, pieces, quality, quotes, spans, toxicity, warc
+from . import decontaminate, licences, minhash, pieces, quality, quotes, spans, toxicity, warc
 
 QUERIES = {
     "op1_minhash": minhash.op1_minhash,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_warc": warc.op3_warc,
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_spans": spans.op6_spans,
