@@ -62,12 +62,9 @@ def _places(words: Column, word: Column | str) -> Column:
     return F.filter(F.transform(words, lambda x, i: F.when(x == w, i)), lambda i: i.isNotNull())
 
 
-def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
+def _stands(words: Column, at: Column, phrase: Column) -> Column:
     """Whether the phrase's words stand consecutively from position ``at``."""
-    ok = at >= 0
-    for j, w in enumerate(phrase):
-        ok = ok & F.coalesce(F.get(words, at + j) == F.lit(w), F.lit(False))
-    return ok
+    return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.size(phrase)) == phrase)
 
 
 def _holds_all(held: Column, phrase: list[str]) -> Column:
@@ -97,24 +94,30 @@ def document_frequencies(parsed: DataFrame) -> dict[str, int]:
     return {w: 0 for w in VOCABULARY} | {r["word"]: r["n"] for r in rows}
 
 
-def _verified(words: Column, held: Column, notice: list[str], phrase: list[str], df: dict[str, int]) -> Column:
-    """Best share of template words at a verified alignment, else null."""
-    ranked = sorted(set(notice), key=lambda w: (df[w], w))
-    rare = F.slice(F.filter(_strings(ranked), lambda w: F.array_contains(held, w)), 1, RARE)
-    starts = F.create_map(*[x for w in ranked for x in (F.lit(w), F.array(*[F.lit(j) for j, y in enumerate(notice) if y == w]))])
+def _template_rows(df: dict[str, int]) -> Column:
+    """The template library as one array; ranked: a notice's words, rarest in the corpus first."""
+    rows = []
+    for label, notice, phrase in TEMPLATES:
+        n, p = notice.split(), phrase.split()
+        lead = next(i for i in range(len(n)) if n[i : i + len(p)] == p)
+        ranked = sorted(set(n), key=lambda w: (df[w], w))
+        rows.append(F.struct(F.lit(label).alias("label"), _strings(n).alias("notice"), _strings(p).alias("phrase"), _strings(ranked).alias("ranked"), F.lit(lead).alias("lead")))
+    return F.array(*rows)
+
+
+def _alignments(words: Column, held: Column, t: Column) -> Column:
+    """Text positions of the notice's first word on which two of its rarest words agree."""
+    rare = F.slice(F.filter(t["ranked"], lambda w: F.array_contains(held, w)), 1, RARE)
+    shifts = F.transform(rare, lambda w: F.array_distinct(F.flatten(F.transform(_places(words, w), lambda p: F.transform(_places(t["notice"], w), lambda q: p - q)))))
+    get = lambda k: F.coalesce(F.get(shifts, F.lit(k)), F.array().cast("array<int>"))
+    return F.array_distinct(F.concat(*[F.array_intersect(get(a), get(b)) for a in range(RARE) for b in range(a)]))
 
-    def shifts(k: int) -> Column:
-        w = F.coalesce(F.get(rare, F.lit(k)), F.lit(""))
-        at = F.coalesce(F.try_element_at(starts, w), F.array().cast("array<int>"))
-        return F.array_distinct(F.flatten(F.transform(_places(words, w), lambda p: F.transform(at, lambda t: p - t))))
 
-    both = [F.array_intersect(shifts(a), shifts(b)) for a in range(RARE) for b in range(a)]
-    at = F.array_distinct(F.concat(*both))
-    lead = next(i for i in range(len(notice)) if notice[i : i + len(phrase)] == phrase)
-    good = F.filter(at, lambda d: _stands(words, d + lead, phrase))
-    hits = lambda d: sum((F.when((d + j >= 0) & (F.get(words, F.greatest(d + j, F.lit(0))) == F.lit(w)), 1).otherwise(0) for j, w in enumerate(notice)), F.lit(0))
-    best = F.array_max(F.transform(good, lambda d: hits(d) / F.lit(float(len(notice)))))
-    return F.when(_holds_all(held, phrase), F.when(best >= MIN_MATCH, best))
+def _match(words: Column, at: Column, notice: Column) -> Column:
+    """Share of the notice's words that stand in the text at alignment ``at``."""
+    skip = F.greatest(-at, F.lit(0))
+    same = F.zip_with(F.slice(words, at + skip + 1, F.size(notice) - skip), F.slice(notice, skip + 1, F.size(notice)), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return F.size(F.filter(same, lambda x: x)) / F.size(notice).cast("double")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -122,23 +125,22 @@ def scan(docs: DataFrame) -> DataFrame:
     words, held = F.col("words"), F.col("held")
     d = materialise(_with_words(docs), "licence-words")
     df = document_frequencies(d)
-    none = F.array().cast("array<int>")
-
-
-    def phrase_places(phrase: list[str]) -> Column:
-        starts = F.filter(_places(words, phrase[0]), lambda i: _stands(words, i, phrase))
-        return F.when(_holds_all(held, phrase), starts).otherwise(none)
-
-    base = [phrase_places(p.split()).alias(f"b{k}") for k, (p, _) in enumerate(BASE)]
-    found = [_verified(words, held, t.split(), p.split(), df).alias(f"t{k}") for k, (_, t, p) in enumerate(TEMPLATES)]
-    d = d.select("doc_id", "n_words", *base, *found)
-    places = F.concat(*[F.col(f"b{k}") for k in range(len(BASE))])
-    labels = [F.when(F.size(f"b{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE)]
-    more = [F.when(F.col(f"t{k}").isNotNull(), F.lit(label)) for k, (label, _, _) in enumerate(TEMPLATES)]
-    join = lambda xs: F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(F.array(*xs)))))
-    best = F.coalesce(F.greatest(*[F.col(f"t{k}") for k in range(len(TEMPLATES))]), F.lit(0.0))
-    return d.select("doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
-                    join(labels).alias("base_labels"), join(labels + more).alias("labels"), F.when(F.size(places) > 0, F.lit(1.0)).otherwise(best).alias("score"))
+    base = F.array(*[F.struct(F.lit(label).alias("label"), _strings(p.split()).alias("phrase")) for p, label in BASE])
+    possible = lambda x: F.forall(x["phrase"], lambda w: F.array_contains(held, w))
+    places = F.transform(F.filter(base, possible), lambda b: F.struct(b["label"].alias("label"), F.filter(_places(words, F.get(b["phrase"], F.lit(0))), lambda i: _stands(words, i, b["phrase"])).alias("at")))
+
+    def best(t: Column) -> Column:
+        good = F.filter(_alignments(words, held, t), lambda d: _stands(words, d + t["lead"], t["phrase"]))
+        return F.struct(t["label"].alias("label"), F.array_max(F.transform(good, lambda d: _match(words, d, t["notice"]))).alias("share"))
+
+    found = F.transform(F.filter(_template_rows(df), possible), best)
+    some = F.size("words") > 0
+    d = d.select("doc_id", "n_words", F.when(some, F.filter(places, lambda x: F.size(x["at"]) > 0)).alias("base"), F.when(some, F.filter(found, lambda x: x["share"] >= MIN_MATCH)).alias("found"))
+    at = F.coalesce(F.flatten("base.at"), F.array().cast("array<int>"))
+    own, more = (F.coalesce(F.col(f"{c}.label"), F.array().cast("array<string>")) for c in ("base", "found"))
+    join = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
+    return d.select("doc_id", "n_words", F.size(at).cast("long").alias("n_base"), F.array_min(at).cast("long").alias("first_word"), F.array_max(at).cast("long").alias("last_word"),
+                    join(own).alias("base_labels"), join(F.concat(own, more)).alias("labels"), F.when(F.size(at) > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("found.share"), F.lit(0.0))).alias("score"))
 
 
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
