@@ -194,9 +194,16 @@ def search_chunk(index: Index, data: np.ndarray, off: np.ndarray, stride: int, t
     return [(i, item, *x) for (i, item), x in best.items()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap) of every verified pair."""
-    spark = docs.sparkSession
+@dataclass
+class Shard:
+    """One part of the benchmark: its index, and how to search with it."""
+
+    index: Index
+    stride: int
+
+
+def shards_of(benchmark: DataFrame) -> Iterator[Shard]:
+    """The benchmark in parts of about SHARD_BYTES, with statistics of all of it; none if it has no items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
 
     def tokenise(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,19 +217,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     parsed = items.mapInArrow(tokenise, "item_id long, text string, n long, terms array<long>").where(F.col("n") >= SHINGLE)
     size = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w"), F.max("n").alias("m"), F.sum(F.length("text")).alias("b")).first()
     if not size["n"]:
-        return spark.createDataFrame([], FOUND)
+        return
     stride, shards = max(MIN_STRIDE, size["m"]), -(-size["b"] // SHARD_BYTES)
     df = parsed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = None
     for k in range(shards):
         shard = parsed.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == k)
         rows = [(r["item_id"], r["text"]) for r in shard.select("item_id", "text").collect()]
         known = {r["term"] & (1 << 64) - 1: r["df"] for r in shard.select(F.explode("terms").alias("term")).distinct().join(df, "term").collect()}
-        held = spark.sparkContext.broadcast(build_index(rows, size["n"], size["w"] / size["n"], known))
+        yield Shard(build_index(rows, size["n"], size["w"] / size["n"], known), stride)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap) of every verified pair."""
+    spark = docs.sparkSession
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = spark.createDataFrame([], FOUND)
+    for shard in shards_of(benchmark):
+        held = spark.sparkContext.broadcast(shard)
 
         def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = held.value
+            index, stride = held.value.index, held.value.stride
             for rb in it:
                 for a, b, data, off in K.chunked(rb.column("text")):
                     got = search_chunk(index, data, off, stride, threshold, overlap)
@@ -230,11 +244,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                     cols = [[ids[g[0]] for g in got], [index.item_ids[g[1]] for g in got], *[[g[j] for g in got] for j in (2, 3, 4)]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), *[pa.float64()] * 3], strict=True)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        part = d.mapInArrow(run, FOUND)
-        found = part if found is None else found.union(part)
+        found = found.union(d.mapInArrow(run, FOUND))
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """docs without the rows that hold a verified item; one pass a shard, no shuffle."""
+    spark = docs.sparkSession
+    for shard in shards_of(benchmark):
+        held = spark.sparkContext.broadcast(shard)
+
+        def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for rb in it:
+                stay = np.ones(rb.num_rows, bool)
+                for a, _, data, off in K.chunked(rb.column("text")):
+                    stay[[a + g[0] for g in search_chunk(held.value.index, data, off, held.value.stride, threshold, overlap)]] = False
+                yield rb.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

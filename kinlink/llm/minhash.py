@@ -256,6 +256,8 @@ def outside_pairs(entries: DataFrame, roots: DataFrame, percent: int) -> DataFra
     need = lambda a, b: F.ceil(percent * (a + b) / (100 + percent))
     cls = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(width)) + 1e-9).cast("int")
     e = entries.join(roots.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select("value", "node", "n", "rank", F.coalesce("root", "node").alias("comp"))
+    mixed = e.groupBy("value").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("value")
+    e = materialise(e.join(mixed, "value"), "mixed-entries")
     rest = F.col("n") - F.col("rank")
     small = e.where(rest >= need(F.col("n"), F.col("n"))).withColumn("size", cls(F.col("n")))
     lo = F.ceil(F.col("n") * percent / 100)
@@ -300,6 +302,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     return d.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each component: its smallest id; rows without an id all stay.
+
+    Of rows that share a kept id one stays.
+    """
+    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept.hint("merge"), docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return rows.union(docs.where(docs["doc_id"].isNull()))
+
+
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 85)
 

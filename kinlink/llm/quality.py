@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .labelled import labelled_sample, platt, sigmoid
+from .shared import set_aside
 
 #: Labelled rows at most that the regression and its calibration are fitted on.
 FIT_ROWS = 4000
@@ -189,6 +190,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (
     return judge(score(docs, fit(labelled_sample(docs, labels, "quality", FIT_ROWS)), carry))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that the rules keep, all columns as they were."""
+    d, others = set_aside(docs)
+    own = {n: c for n, c in others}
+    good = quality_rules(d, labels, ("text", *own)).where("kept")
+    back = {c: n for n, c in others} | {"text": "text", "doc_id": "doc_id"}
+    return good.select(*[F.col(back[c]).alias(c) for c in docs.columns])
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_rules(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")

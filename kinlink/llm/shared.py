@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -26,7 +29,10 @@ def shared_root(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/kinlink/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/kinlink/{label}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -35,4 +41,44 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinlink_path = path
+    return out
+
+
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that ``shared_path`` gives out meanwhile."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables and archives that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables; only for those that no returned frame depends on."""
+    for t in tables:
+        remove(t.sparkSession, [t._kinlink_path])
+
+
+def set_aside(docs: DataFrame) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """doc_id, text and every other column under a name of ours, so that none can clash.
+
+    Also returns (our name, own name) of the others, in order.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = [(f"_other{i}", c) for i, c in enumerate(others)]
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for n, c in names]), names
