@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import materialise
+from .shared import materialise, set_aside
 
 #: Words at least in a run of so many sentences.
 MIN_WORDS = {3: 8, 2: 20}
@@ -186,9 +186,14 @@ def removals(batches: DataFrame) -> DataFrame:
 
 
 def dedup_spans(docs: DataFrame) -> DataFrame:
-    """docs with the remaining text, n_sentences and n_removed; other columns as they are."""
+    """docs with the remaining text, n_sentences and n_removed; other columns as they are.
+
+    A column of docs that has the name of one of these two is replaced.
+    """
+    order = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    docs, others = set_aside(docs)
     lists = materialise(removals(_batches(docs)), "removed-sentences")
-    d = _identified(docs).drop("text").join(lists, ["_id", "_mark"], "left").drop("_id", "_mark")
+    d = _identified(docs).drop("text").join(lists.hint("merge"), ["_id", "_mark"], "left").drop("_id", "_mark")
     keep = [f for f in d.schema if f.name not in ("_text", "gone", "n_sentences", "n_removed")]
     d = d.select(*[F.col(f"`{f.name}`") for f in keep], "_text", "gone")
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in keep], "text string", "n_sentences long", "n_removed long"])
@@ -213,7 +218,8 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
                 cols += [pa.array([text[cuts[i] : cuts[i + 1]].decode() for i in range(b - a)], pa.string()), pa.array(np.diff(at).astype(np.int64)), pa.array(removed)]
                 yield pa.RecordBatch.from_arrays(cols, [f.name for f in keep] + ["text", "n_sentences", "n_removed"])
 
-    return d.mapInArrow(cut, schema)
+    back = {c: n for n, c in others}
+    return d.mapInArrow(cut, schema).select(*[F.col(back.get(c, c)).alias(c) for c in order], "n_sentences", "n_removed")
 
 
 def op6_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
