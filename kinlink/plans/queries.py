@@ -1,6 +1,477 @@
-"""Registered queries of the record-linkage engine and their DuckDB SQL."""
+"""Registered queries of the record-linkage engine and their DuckDB SQL.
+
+All run over whole tables: documents as records, S1 against S2 and S3, top 60.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinlink.functions import similarity as sim
+from kinlink.functions.text import ABBREVIATIONS, LEGAL_SUFFIXES, add_normalized_columns, blocking_tokens, normalize_text, parse_ids, transliterate
+from kinlink.operators import blocking, decide, holdout, learn, metrics
+from kinlink.operators.features import attach, feature_frame
+from kinlink.sources import sink, store, tsv
+from kinlink.sources.scratch import scratch_path
+
+from . import adapters, audit
+from .pipeline import truth_map, truth_pairs
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+K = blocking.TOP_K_CLI
+
+# ---------------------------------------------------------------- DuckDB side
+_CASE = " ".join(f"when '{k}' then '{v.replace(' ', '~')}'" for k, v in ABBREVIATIONS.items())
+_FORMS = "|".join(s.replace(" ", "~") for s in LEGAL_SUFFIXES)
+
+
+def _expanded(x: str) -> str:
+    clean = f"trim(regexp_replace(replace(lower(strip_accents({x})), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+    return f"array_to_string(list_transform(string_split({clean}, ' '), lambda t: case t {_CASE} else t end), ' ')"
+
+
+_NORM = f"""raw as (select *, {_expanded('business_name')} en, {_expanded('business_address')} ea from rec),
+nrm as (select entity_id, business_name, business_address, country, trim(replace(en, '~', ' ')) name_norm,
+  trim(replace(regexp_replace(en, '((^| )({_FORMS}))+$', ''), '~', ' ')) name_core, trim(replace(ea, '~', ' ')) address_norm from raw),
+r as (select *, list_filter(string_split(name_norm, ' '), lambda t: t <> '') name_tokens, list_filter(string_split(address_norm, ' '), lambda t: t <> '') address_tokens from nrm)"""
+_DOCS = r"""w as (select doc_id, lang, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') tk from documents),
+rec as (select 'S' || (doc_id % 3 + 1) || '-' || doc_id entity_id, array_to_string(tk[1:6], ' ') business_name, array_to_string(tk[7:14], ' ') business_address, lang country from w)"""
+_PARTS = "rec as (select 'S' || (p_partkey % 3 + 1) || '-' || p_partkey entity_id, p_name business_name, p_brand || ' ' || p_type business_address, cast(p_size as varchar) country from part)"
+_TRUTH = """tp as (select 'S1-' || a.doc_id s1, 'S' || (b.doc_id % 3 + 1) || '-' || b.doc_id cand from documents a join documents b on a.text = b.text where a.doc_id % 3 = 0 and b.doc_id % 3 <> 0),
+tm as (select entity_id s1, coalesce(list(distinct cand) filter (where cand is not null), []) ids from rec left join tp on s1 = entity_id where entity_id like 'S1-%' group by entity_id)"""
+_BLOCK = f"""bt as (select entity_id, country, unnest(list_filter(list_distinct(list_concat(name_tokens, address_tokens)), lambda t: length(t) >= 2)) as token from r),
+ov as (select a.entity_id s1, b.entity_id cand, count(*) as overlap from bt a join bt b on a.token = b.token and a.country = b.country
+  where a.entity_id like 'S1-%' and b.entity_id not like 'S1-%' group by a.entity_id, b.entity_id),
+rk as (select *, row_number() over (partition by s1 order by overlap desc, cand) as rank from ov),
+top as (select * from rk where rank <= {K})"""
+_PAIRS = """p as (select s1, cand, l.country lc, r.country rc, l.name_norm ln, r.name_norm rn, l.address_norm la, r.address_norm ra, l.name_tokens lnt, r.name_tokens rnt,
+  l.address_tokens lat, r.address_tokens rat, string_split(l.name_core, ' ') lct, string_split(r.name_core, ' ') rct from top join r l on l.entity_id = s1 join r on r.entity_id = cand)"""
+
+
+def _with(*parts: str, end: str, recursive: bool = False) -> str:
+    return "with " + ("recursive " if recursive else "") + ",\n".join(parts) + "\n" + end
+
+
+def _jaccard_sql(a: str, b: str) -> str:
+    c = lambda x: f"list_distinct(list_filter({x}, lambda t: t <> ''))"
+    return f"case when len({c(a)}) + len({c(b)}) = 0 then 1.0 else len(list_intersect({c(a)}, {c(b)})) / cast(len(list_distinct(list_concat({c(a)}, {c(b)}))) as double) end"
+
+
+def _lev_sql(a: str, b: str) -> str:
+    return f"case when {a} = {b} then 1.0 when length({a}) = 0 or length({b}) = 0 then 0.0 else 1 - levenshtein({a}, {b}) / cast(greatest(length({a}), length({b})) as double) end"
+
+
+def _sort_sql(t: str) -> str:
+    return f"array_to_string(list_sort({t}), ' ')"
+
+
+def _set_sql(t: str) -> str:
+    return f"array_to_string(list_sort(list_distinct({t})), ' ')"
+
+
+def _grams_sql(t: str) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(length({t}) - 1, 1)), lambda i: substr({t}, i, 3)))"
+
+
+def _cosine_sql(a: str, b: str) -> str:
+    x, y = _grams_sql(a), _grams_sql(b)
+    return f"case when len({x}) = 0 and len({y}) = 0 then 1.0 when len({x}) = 0 or len({y}) = 0 then 0.0 else len(list_intersect({x}, {y})) / sqrt(cast(len({x}) * len({y}) as double)) end"
+
+
+def _tfidf_sql(a: str, b: str) -> str:
+    n = lambda l, t: f"len(list_filter({l}, lambda z: z = {t}))"
+    mass = lambda own, other: f"list_sum(list_transform(list_distinct({own}), lambda t: {n(own, 't')} * {n(own, 't')} * case when list_contains({other}, t) then 1.0::double else pow(ln(1.5::double) + 1, 2) end))"
+    both = f"coalesce(list_sum(list_transform(list_intersect(list_distinct({a}), list_distinct({b})), lambda t: {n(a, 't')} * {n(b, 't')})), 0)"
+    return f"case when len({a}) = 0 and len({b}) = 0 then 1.0 when len({a}) = 0 or len({b}) = 0 then 0.0 else {both} / sqrt({mass(a, b)} * {mass(b, a)}) end"
+
+
+_SQL_FEATURES: dict[str, str] = {"name_core_jaccard": _jaccard_sql("lct", "rct"), "country_match": "case when lc = rc then 1.0 else 0.0 end"}
+for _f, _n, _t in (("name", "n", "nt"), ("address", "a", "at")):
+    _SQL_FEATURES |= {
+        f"{_f}_jaccard": _jaccard_sql(f"l{_t}", f"r{_t}"),
+        f"{_f}_levenshtein": _lev_sql(f"l{_n}", f"r{_n}"),
+        f"{_f}_token_sort": _lev_sql(_sort_sql(f"l{_t}"), _sort_sql(f"r{_t}")),
+        f"{_f}_token_set": _lev_sql(_set_sql(f"l{_t}"), _set_sql(f"r{_t}")),
+        f"{_f}_cosine": _cosine_sql(f"l{_n}", f"r{_n}"),
+        f"{_f}_tfidf_cosine": _tfidf_sql(f"l{_t}", f"r{_t}"),
+        f"{_f}_length_delta": f"abs(length(l{_n}) - length(r{_n}))",
+    }
+
+
+# ---------------------------------------------------------------- Spark side
+def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    return add_normalized_columns(adapters.document_records(spark, sf))
+
+
+def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    raw = adapters.document_records(spark, sf)
+    return add_normalized_columns(adapters.source(raw, 1)), add_normalized_columns(adapters.source(raw, 2, 3))
+
+
+def _top(spark: SparkSession, sf: str, k: int | None = K) -> DataFrame:
+    s1, targets = _sides(spark, sf)
+    return blocking.candidates(s1, targets, k)
+
+
+def _truth(spark: SparkSession, sf: str) -> DataFrame:
+    return truth_map(adapters.document_truth(spark, sf))
+
+
+def _features(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    s1, targets = _sides(spark, sf)
+    both = attach(_top(spark, sf).select("s1", "cand"), s1, targets)
+    native = sim.native_features()
+    return both.select("s1", "cand", *[F.round(native[n], 6).alias(n) for n in names])
+
+
+def _feature_sql(*names: str) -> str:
+    return _with(_DOCS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, " + ", ".join(f"round(cast({_SQL_FEATURES[n]} as double), 6) as {n}" for n in names) + " from p")
+
+
+def _joined(c: str) -> Column:
+    return F.array_join(c, " ").alias(c)
+
+
+@_query("normalize_text", _with(_DOCS, _NORM, end="select entity_id, name_norm, address_norm from r"))
+def _(spark, sf):
+    return _records(spark, sf).select("entity_id", "name_norm", "address_norm")
+
+
+@_query("name_core_suffix", _with(_DOCS, _NORM, end="select entity_id, name_core from r"))
+def _(spark, sf):
+    return _records(spark, sf).select("entity_id", "name_core")
+
+
+@_query("tokens", _with(_DOCS, _NORM, end="select entity_id, array_to_string(name_tokens, ' ') name_tokens, array_to_string(address_tokens, ' ') address_tokens from r"))
+def _(spark, sf):
+    return _records(spark, sf).select("entity_id", _joined("name_tokens"), _joined("address_tokens"))
+
+
+_GOLD_TEXT = [("Acme LLC", "acme limited liability company", "acme"), ("Acme Limited Liability Company", "acme limited liability company", "acme limited liability"),
+              ("Foo Pvt. Ltd.", "foo private limited", "foo"), ("Ltd", "limited", ""), ("l.l.c. Bar", "l l c bar", "l l c bar"), ("Café & Søn", "cafe and s n", "cafe and s n"),
+              ("ﬁ ½ ™", "fi 1 2 tm", "fi 1 2 tm"), ("A＆B Co", "a and b company", "a and b"), ("", "", "")]
+
+
+@_query("normalize_gold", "select * from (values " + ", ".join("({}, {}, {})".format(*["'" + x.replace("'", "''") + "'" for x in g]) for g in _GOLD_TEXT) + ") t(text, name_norm, name_core)")
+def _(spark, sf):
+    d = spark.createDataFrame([(g[0],) for g in _GOLD_TEXT], "text string")
+    return d.select("text", normalize_text(F.col("text")).alias("name_norm"), normalize_text(F.col("text"), True).alias("name_core"))
+
+
+@_query("transliterate", r"select doc_id, strip_accents(text) as plain from documents")
+def _(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", transliterate(F.col("text")).alias("plain"))
+
+
+@_query("blocking_tokens", _with(_DOCS, _NORM, _BLOCK, end="select entity_id, country, token from bt"))
+def _(spark, sf):
+    r = _records(spark, sf)
+    return r.select("entity_id", "country", F.explode(blocking_tokens(F.col("name_tokens"), F.col("address_tokens"))).alias("token"))
+
+
+@_query("postings", _with(_DOCS, _NORM, _BLOCK, end="select token, entity_id, country from bt where entity_id not like 'S1-%'"))
+def _(spark, sf):
+    return store.postings(_sides(spark, sf)[1])
+
+
+@_query("records_upsert_dedup", """with x as (select doc_id, source, text, row_number() over (partition by source order by doc_id desc) n from documents)
+select source as entity_id, doc_id, md5(text) as digest from x where n = 1""")
+def _(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("source").alias("entity_id"), "doc_id", F.md5("text").alias("digest"))
+    return store.last_writes(d, ["doc_id"])
+
+
+@_query("blocking_overlap", _with(_DOCS, _NORM, _BLOCK, end="select s1, cand, overlap from ov"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    return blocking.overlaps(s1, store.postings(targets))
+
+
+@_query("blocking_topk", _with(_DOCS, _NORM, _BLOCK, end="select s1, cand, overlap, rank from top"))
+def _(spark, sf):
+    return _top(spark, sf)
+
+
+@_query("blocking_topk_ties", _with(_PARTS, _NORM, _BLOCK, end="select s1, cand, overlap, rank from top"))
+def _(spark, sf):
+    p = adapters.part_records(spark, sf)
+    return blocking.candidates(adapters.source(p, 1), adapters.source(p, 2, 3), K)
+
+
+@_query("candidates_all_s1", _with(_DOCS, _NORM, _BLOCK.replace(f"rank <= {K}", "rank <= 250"), end="""select entity_id as s1, cast(count(cand) as bigint) as n, coalesce(string_agg(cand, ',' order by rank), '') as candidates
+from r left join top on s1 = entity_id where entity_id like 'S1-%' group by entity_id"""))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    m = blocking.candidate_map(s1, blocking.candidates(s1, targets))
+    return m.select("s1", F.size("candidates").cast("long").alias("n"), F.array_join("candidates", ",").alias("candidates"))
+
+
+@_query("fetch_records_semi", _with(_DOCS, _NORM, _BLOCK, end="select entity_id, name_norm, address_norm, country from r where entity_id in (select cand from top)"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    ids = blocking.candidates(s1, targets, K).select(F.col("cand").alias("entity_id"))
+    return store.fetch_records(targets, ids).select("entity_id", "name_norm", "address_norm", "country")
+
+
+@_query("pair_attach", _with(_DOCS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, ln as l_name_norm, rn as r_name_norm, la as l_address_norm, ra as r_address_norm from p"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    return attach(_top(spark, sf).select("s1", "cand"), s1, targets).select("s1", "cand", "l_name_norm", "r_name_norm", "l_address_norm", "r_address_norm")
+
+
+for _name, _columns in {
+    "jaccard_features": ("name_jaccard", "name_core_jaccard", "address_jaccard"),
+    "levenshtein_features": ("name_levenshtein", "address_levenshtein"),
+    "token_sort_features": ("name_token_sort", "address_token_sort"),
+    "token_set_features": ("name_token_set", "address_token_set"),
+    "trigram_cosine": ("name_cosine", "address_cosine"),
+    "tfidf_cosine": ("name_tfidf_cosine", "address_tfidf_cosine"),
+    "length_delta": ("name_length_delta", "address_length_delta"),
+    "country_match": ("country_match",),
+    "feature_frame_sql": tuple(f for f in sim.FEATURES if f not in sim.SEQUENCE),
+}.items():
+    _query(_name, _feature_sql(*_columns))(lambda spark, sf, c=_columns: _features(spark, sf, *c))
+
+
+@_query("feature_frame")
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    return feature_frame(_top(spark, sf), s1, targets)
+
+
+_GOLD_SEQUENCE = [("tide", "diet", 0.25), ("diet", "tide", 0.5), ("", "", 1.0), ("abc", "", 0.0), ("abcd", "bcde", 0.75), ("same text", "same text", 1.0)]
+
+
+@_query("sequence_ratio", "select * from (values " + ", ".join(f"('{a}', '{b}', {x}::double)" for a, b, x in _GOLD_SEQUENCE) + ") t(l, r, ratio)")
+def _(spark, sf):
+    d = spark.createDataFrame([(a, b) for a, b, _ in _GOLD_SEQUENCE], "l string, r string")
+    return d.select("l", "r", sim.sequence_ratio(F.col("l"), F.col("r")).alias("ratio"))
+
+
+@_query("rule_score_no_seq", _with(_DOCS, _NORM, _BLOCK, _PAIRS, f"j as (select s1, cand, {_SQL_FEATURES['name_core_jaccard']} n, {_SQL_FEATURES['address_jaccard']} a from p)",
+                                   end="select s1, cand, round(0.45::double * n + 0.20::double * a, 6) as score, n >= 0.5 or a >= 0.5 as gate from j"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    native = sim.native_features()
+    j = attach(_top(spark, sf).select("s1", "cand"), s1, targets).select("s1", "cand", native["name_core_jaccard"].alias("name_core_jaccard"), native["address_jaccard"].alias("address_jaccard"))
+    return j.select("s1", "cand", F.round(decide.score_without_sequence(), 6).alias("score"), decide.gate().alias("gate"))
+
+
+def _rule(spark: SparkSession, sf: str) -> DataFrame:
+    s1, targets = _sides(spark, sf)
+    return decide.rule_matches_of_pairs(_top(spark, sf), s1, targets)
+
+
+@_query("rule_matches")
+def _(spark, sf):
+    return _rule(spark, sf)
+
+
+@_query("matches_list")
+def _(spark, sf):
+    return decide.match_lists_by_score(_rule(spark, sf)).select("s1", F.array_join("matches", ",").alias("matches"))
+
+
+@_query("candidate_list_sink", _with(_DOCS, _NORM, _BLOCK, end="""select entity_id as source1_entity_id, coalesce(string_agg(distinct cand, ',' order by cand), '') as candidate_entity_ids
+from r left join top on s1 = entity_id where entity_id like 'S1-%' group by entity_id"""))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    return sink.id_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), blocking.candidates(s1, targets, K), "candidate_entity_ids")
+
+
+@_query("match_list_sink", _with(_DOCS, _NORM, _BLOCK, _TRUTH, end="""select entity_id as source1_entity_id, coalesce(string_agg(distinct top.cand, ',' order by top.cand) filter (where tp.cand is not null), '') as matched_entity_ids
+from r left join top on top.s1 = entity_id left join tp on tp.s1 = top.s1 and tp.cand = top.cand where entity_id like 'S1-%' group by entity_id"""))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    pairs = truth_pairs(adapters.document_truth(spark, sf))
+    return sink.match_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), blocking.candidates(s1, targets, K), pairs)
+
+
+@_query("truth_explode", _with(_DOCS, _TRUTH, end="select distinct s1, cand from tp"))
+def _(spark, sf):
+    return truth_pairs(adapters.document_truth(spark, sf))
+
+
+@_query("pair_labels", _with(_DOCS, _NORM, _BLOCK, _TRUTH, end="select top.s1, top.cand, case when exists (select 1 from tp where tp.s1 = top.s1 and tp.cand = top.cand) then 1 else 0 end as label from top"))
+def _(spark, sf):
+    return learn.pair_labels(_top(spark, sf).select("s1", "cand"), truth_pairs(adapters.document_truth(spark, sf)), "s1", "cand")
+
+
+@_query("holdout_split", _with(_DOCS, "x as (select entity_id, row_number() over (order by md5('42:' || entity_id), entity_id) n, count(*) over () c from rec where entity_id like 'S1-%')",
+                               end="select entity_id, case when n <= floor(c * (1.0 - 0.2)) then 'train' else 'valid' end as part from x"))
+def _(spark, sf):
+    s1 = adapters.source(adapters.document_records(spark, sf), 1)
+    train, valid, _, _ = holdout.split_by_source1(s1, adapters.document_truth(spark, sf))
+    return train.select("entity_id", F.lit("train").alias("part")).union(valid.select("entity_id", F.lit("valid").alias("part")))
+
+
+@_query("sample_n", _with(_DOCS, end="select entity_id from rec where entity_id like 'S1-%' order by md5('41:' || entity_id), entity_id limit 100"))
+def _(spark, sf):
+    return holdout.sample_n(adapters.source(adapters.document_records(spark, sf), 1), 100, 41).select("entity_id")
+
+
+_PREDICTED = "pr as (select s1, list(cand) p from top where rank <= 3 group by s1)"
+_F05 = """sc as (select tm.s1, list_intersect(coalesce(p, []), ids) h, coalesce(p, []) p, ids from tm left join pr using (s1)),
+en as (select s1, case when len(ids) = 0 then case when len(p) = 0 then 1.0 else 0.0 end when len(p) = 0 or len(h) = 0 then 0.0
+  else 1.25::double * (len(h) / len(p)::double) * (len(h) / len(ids)::double) / (0.25::double * (len(h) / len(p)::double) + len(h) / len(ids)::double) end f from sc)"""
+
+
+def _first_three(spark: SparkSession, sf: str) -> DataFrame:
+    return _top(spark, sf, 3).groupBy("s1").agg(F.collect_list("cand").alias("matches"))
+
+
+@_query("entity_f05", _with(_DOCS, _NORM, _BLOCK, _TRUTH, _PREDICTED, _F05, end="select s1 as source1_entity_id, round(cast(f as double), 6) as f05 from en"))
+def _(spark, sf):
+    return metrics.entity_scores(_truth(spark, sf), _first_three(spark, sf)).select("source1_entity_id", F.round("f05", 6).alias("f05"))
+
+
+@_query("macro_f05", _with(_DOCS, _NORM, _BLOCK, _TRUTH, _PREDICTED, _F05, end="select round(coalesce(sum(f), 0.0) / greatest(1, count(*)), 6)::double as macro_f05 from en"))
+def _(spark, sf):
+    return metrics.macro_f05(_truth(spark, sf), _first_three(spark, sf)).select(F.round("macro_f05", 6).alias("macro_f05"))
+
+
+@_query("recall_ceiling", _with(_DOCS, _NORM, _BLOCK, _TRUTH, "cm as (select s1, list(cand) c from top group by s1)",
+                                "z as (select sum(len(list_intersect(ids, coalesce(c, [])))) h, sum(len(ids)) t, sum(len(coalesce(c, []))) n, count(*) m from tm left join cm using (s1))",
+                                end="select round(case when t = 0 then 1.0 else h / t::double end, 6)::double as recall, round(1 - n / greatest(1, m * (select count(*) from rec where entity_id not like 'S1-%'))::double, 6) as reduction from z"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    out = blocking.recall_ceiling(_truth(spark, sf), blocking.candidate_map(s1, blocking.candidates(s1, targets, K)), targets)
+    return out.select(F.round("recall", 6).alias("recall"), F.round("reduction", 6).alias("reduction"))
+
+
+@_query("source_profile", _with(_DOCS, end=r"""select substr(entity_id, 1, 2) as source, count(*) as rows, count(distinct country) as countries,
+  count(*) filter (where trim(business_name) = '') as missing_names, count(*) filter (where trim(business_address) = '') as missing_addresses from rec group by 1"""))
+def _(spark, sf):
+    return tsv.source_profile(adapters.document_records(spark, sf).withColumn("source", F.substring("entity_id", 1, 2)))
+
+
+@_query("null_check", "select cast(count(*) filter (where doc_id is null) + count(*) filter (where source is null) as bigint) as nulls, cast(count(*) - count(distinct source) as bigint) as repeated from documents")
+def _(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("source", "doc_id")
+    return tsv.violations(d, ("source", "doc_id")).select(F.col("nulls").cast("long"), F.col("repeated").cast("long"))
+
+
+@_query("duplicate_keys", "select md5(text) as key, count(*) as n from documents group by 1 having count(*) > 1")
+def _(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet").groupBy(F.md5("text").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@_query("tsv_source_scan", _with(_DOCS, end="select entity_id, business_name, business_address, country from rec"))
+def _(spark, sf):
+    path = scratch_path(spark, "source.tsv")
+    adapters.document_records(spark, sf).write.options(header=True, sep="\t", quote='"', escape='"', emptyValue="").csv(path)
+    return tsv.read_tsv(spark, path)
+
+
+@_query("ground_truth_scan", _with(_DOCS, _TRUTH, end="select s1 as source1_entity_id, array_to_string(list_sort(ids), ',') as matched_entity_ids from tm"))
+def _(spark, sf):
+    path = scratch_path(spark, "truth.tsv")
+    adapters.document_truth(spark, sf).write.options(header=True, sep="\t", emptyValue="").csv(path)
+    return tsv.validate_frame(tsv.read_tsv(spark, path), tsv.TRUTH_COLUMNS, "truth")
+
+
+@_query("split_loader", _with(_DOCS, end="select 'source' || substr(entity_id, 2, 1) as source, count(*) as n from rec group by 1"))
+def _(spark, sf):
+    path, records = scratch_path(spark, "split"), adapters.document_records(spark, sf)
+    for i in (1, 2, 3):
+        adapters.source(records, i).write.options(header=True, sep="\t", emptyValue="").csv(f"{path}/train_source{i}.tsv")
+    return tsv.union_split(tsv.load_split(spark, path, "train")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- audit relations
+# Rows under audit: every S1 record with its first three candidates, some of them spoilt by rule.
+_AUDITED = """au as (select entity_id s1, n, case when n % 7 = 0 then list_concat(c, ['S1-0']) when n % 11 = 0 then list_concat(c, ['X9-1']) when n % 5 = 0 and len(c) > 0 then list_concat(c, [c[1]]) when n % 13 = 0 then list_concat(c, ['S2-none']) else c end ids
+  from (select entity_id, cast(substr(entity_id, 4) as bigint) n, coalesce(c, []) c from rec left join (select s1, list(cand order by rank) c from top where rank <= 3 group by s1) on s1 = entity_id where entity_id like 'S1-%')),
+aud as (select case when n % 17 = 0 then 'S1-x' || (n % 2) else s1 end s1, ids from au)"""
+
+
+def _audited(spark: SparkSession, sf: str) -> DataFrame:
+    s1, targets = _sides(spark, sf)
+    m = blocking.candidate_map(s1, blocking.candidates(s1, targets, 3)).withColumn("n", F.substring("s1", 4, 20).cast("long"))
+    c, n = F.col("candidates"), F.col("n")
+    more = lambda x: F.concat(c, F.array(x))
+    ids = F.when(n % 7 == 0, more(F.lit("S1-0"))).when(n % 11 == 0, more(F.lit("X9-1"))).when((n % 5 == 0) & (F.size(c) > 0), more(F.get(c, F.lit(0)))).when(n % 13 == 0, more(F.lit("S2-none"))).otherwise(c)
+    key = F.when(n % 17 == 0, F.concat(F.lit("S1-x"), (n % 2).cast("string"))).otherwise(F.col("s1"))
+    return m.select(n.alias("line_no"), key.alias("s1"), F.lit(True).alias("tab"), ids.alias("ids"))
+
+
+def _violations(spark: SparkSession, sf: str) -> DataFrame:
+    ids = adapters.document_records(spark, sf).select(F.col("entity_id").alias("id"))
+    return audit.violations(_audited(spark, sf), ids.where(F.col("id").startswith("S1-")), ids.where(~F.col("id").startswith("S1-")))
+
+
+_AUDIT_SQL = {
+    "list_duplicate_rows": ("repeated_row", "select s1 as offender from aud group by s1 having count(*) > 1"),
+    "list_duplicate_ids": ("repeated_id", "select distinct s1 as offender from aud where len(ids) <> len(list_distinct(ids))"),
+    "self_matches": ("self_match", "select distinct i as offender from (select unnest(ids) i from aud) where i like 'S1-%'"),
+    "prefix_violations": ("wrong_prefix", "select distinct i as offender from (select unnest(ids) i from aud) where i not like 'S1-%' and i not like 'S2-%' and i not like 'S3-%'"),
+    "unknown_ids_anti": ("unknown_id", "select distinct i as offender from (select unnest(ids) i from aud) where (i like 'S2-%' or i like 'S3-%') and i not in (select entity_id from rec)"),
+    "required_missing_anti": ("missing_row", "select entity_id as offender from rec where entity_id like 'S1-%' and entity_id not in (select s1 from aud)"),
+    "extra_rows_anti": ("extra_row", "select distinct s1 as offender from aud where s1 not in (select entity_id from rec)"),
+}
+for _name, (_kind, _end) in _AUDIT_SQL.items():
+    _query(_name, _with(_DOCS, _NORM, _BLOCK, _AUDITED, end=_end))(lambda spark, sf, k=_kind: _violations(spark, sf).where(F.col("kind") == k).select("offender"))
+
+
+@_query("first5_examples", _with(_DOCS, _NORM, _BLOCK, _AUDITED, "v as (" + " union all ".join(f"select '{k}' as kind, offender from ({e})" for k, e in _AUDIT_SQL.values()) + ")",
+                                 "o as (select *, row_number() over (partition by kind order by offender) n, count(*) over (partition by kind) total from v)",
+                                 end="select kind, total, string_agg(offender, ',' order by offender) as examples from o where n <= 5 group by kind, total"))
+def _(spark, sf):
+    return audit.summary(_violations(spark, sf)).select("kind", "total", F.array_join("examples", ",").alias("examples"))
+
+
+@_query("audit_counts", _with(_DOCS, _NORM, _BLOCK, _AUDITED, end="select count(*) as n_rows, count(*) filter (where len(ids) = 0) as empties, count(*) filter (where len(ids) > 0) as non_empty from aud"))
+def _(spark, sf):
+    return audit.row_counts(_audited(spark, sf))
+
+
+@_query("subset_violation", _with(_DOCS, _NORM, _BLOCK, _AUDITED, end="select distinct s1 from (select s1, unnest(ids) i from aud) x where not exists (select 1 from top where top.s1 = x.s1 and cand = i)"))
+def _(spark, sf):
+    s1, targets = _sides(spark, sf)
+    return audit.outside_candidates(_audited(spark, sf), blocking.candidate_map(s1, blocking.candidates(s1, targets, K)).select("s1", F.col("candidates").alias("ids")))
+
+
+_LINES = [(1, "source1_entity_id\tmatched_entity_ids"), (2, "S1-1\tS2-1,,S2-2"), (3, "S1-2\t"), (4, "no tab here"), (5, ""), (6, " S1-3\tS2-1, S3-2"), (7, "S1-4\tS2-1\tS2-2")]
+
+
+@_query("audit_line_parse", """select * from (values (2, 'S1-1', true, 'S2-1||S2-2', 3), (3, 'S1-2', true, '', 0), (4, 'no tab here', false, '', 0), (5, '', false, '', 0),
+  (6, ' S1-3', true, 'S2-1| S3-2', 2), (7, 'S1-4', true, 'S2-1' || chr(9) || 'S2-2', 1)) t(line_no, s1, tab, ids, n)""")
+def _(spark, sf):
+    rows = audit.parse_lines(spark.createDataFrame(_LINES, "line_no int, line string"))
+    return rows.select("line_no", "s1", "tab", F.array_join("ids", "|").alias("ids"), F.size("ids").alias("n"))
+
+
+@_query("union_targets", _with(_DOCS, end="select entity_id as id from rec where entity_id like 'S2-%' union select entity_id from rec where entity_id like 'S3-%'"))
+def _(spark, sf):
+    r = adapters.document_records(spark, sf)
+    return adapters.source(r, 2).select(F.col("entity_id").alias("id")).union(adapters.source(r, 3).select("entity_id")).distinct()
+
+
+@_query("parse_id_list", "select * from (values ('a,,b', 'a|b'), ('', ''), (' a,b ', ' a|b '), (',', '')) t(list, ids)")
+def _(spark, sf):
+    return spark.createDataFrame([("a,,b",), ("",), (" a,b ",), (",",)], "list string").select("list", F.array_join(parse_ids(F.col("list")), "|").alias("ids"))
+
+
+@_query("gbt_matches")
+def _(spark, sf):
+    """Trees fitted on all candidate pairs with exact copies as truth; fewer rounds than the command line's."""
+    path = scratch_path(spark, "labelled")
+    s1, targets = _sides(spark, sf)
+    learn.pair_labels(feature_frame(_top(spark, sf), s1, targets), truth_pairs(adapters.document_truth(spark, sf))).write.parquet(path)
+    labelled = spark.read.parquet(path)
+    return learn.PairMatcher(decide.RULE_THRESHOLD, rounds=20).fit(labelled).matches(labelled)
