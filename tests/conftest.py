@@ -3,15 +3,18 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    shared = tmp_path_factory.mktemp("shared")
+    s = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", f"file://{shared}")
+         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
