@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .shared import bound_batches
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
@@ -230,6 +231,7 @@ def shards_of(benchmark: DataFrame) -> Iterator[Shard]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every verified pair."""
     spark = docs.sparkSession
+    bound_batches(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = spark.createDataFrame([], FOUND)
     for shard in shards_of(benchmark):
@@ -252,6 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """docs without the rows that hold a verified item; one pass a shard, no shuffle."""
     spark = docs.sparkSession
+    bound_batches(spark)
     for shard in shards_of(benchmark):
         held = spark.sparkContext.broadcast(shard)
 

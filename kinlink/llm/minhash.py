@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .shared import materialise
+from .shared import bound_batches, materialise
 
 SKETCH, WORDS, PERCENT, SIGMAS = 64, 5, 80, 6.0
 BATCH = "batch string, ids binary, valid binary, sizes binary, h1 binary, h2 binary, kept binary, vals binary"
@@ -277,10 +277,11 @@ def outside_pairs(entries: DataFrame, roots: DataFrame, percent: int) -> DataFra
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept."""
+    bound_batches(docs.sparkSession)
     batches = batches_of_sets(docs, words, SKETCH)
     alive = materialise(possible(batches, percent), "possible")
     classes = materialise(alive.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node")), "classes")
-    chosen = docs.select("doc_id", "text").join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    chosen = docs.select("doc_id", "text").join(classes.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     sets = batches_of_sets(chosen, words, None)
     each = materialise(one_set_a_row(sets), "set-rows")
     entries = materialise(prefix_entries(sets, percent), "entries")

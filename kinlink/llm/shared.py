@@ -27,6 +27,19 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Bytes of an Arrow batch at most; a longer row is a batch of its own.
+ARROW_BYTES = 8 << 20
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small in bytes: texts differ in length by orders of magnitude,
+    and a Python worker and its executor both hold the batches under way."""
+    size = str(spark.conf.get(_ARROW_BYTES, "64m")).rstrip("b")
+    if not size.isdigit() or not 0 < int(size) <= ARROW_BYTES:
+        spark.conf.set(_ARROW_BYTES, str(ARROW_BYTES))
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     path = f"{shared_root(spark)}/kinlink/{label}-{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import materialise, set_aside
+from .shared import bound_batches, materialise, set_aside
 
 #: Words at least in a run of so many sentences.
 MIN_WORDS = {3: 8, 2: 20}
@@ -190,6 +190,7 @@ def dedup_spans(docs: DataFrame) -> DataFrame:
 
     A column of docs that has the name of one of these two is replaced.
     """
+    bound_batches(docs.sparkSession)
     order = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     docs, others = set_aside(docs)
     lists = materialise(removals(_batches(docs)), "removed-sentences")

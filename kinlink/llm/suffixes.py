@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import materialise
+from .shared import bound_batches, materialise
 from .spans import _identified
 
 SPAN, GRAM = 50, 24
@@ -373,6 +373,7 @@ OUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 def dedup_substrings(docs: DataFrame, with_spans: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_spans adds the removed [start, end) pairs."""
     spark = docs.sparkSession
+    bound_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = _identified(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "_id", "_mark", "_text")
     settled = _send_anchors(base, buckets).groupBy("bucket").applyInArrow(_settle, "batch string, kind int, ids binary, a binary, b binary")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .labelled import isotonic, labelled_sample
+from .shared import bound_batches
 
 #: Labelled rows at most for lexicon, trees and calibration together.
 FIT_ROWS = 20_000
@@ -235,6 +236,7 @@ def _lexicon(sample: DataFrame) -> np.ndarray:
 
 def fit(sample: DataFrame) -> ToxicityModel:
     """Fit on rows (doc_id, text, y): lexicon and trees on seven tenths, calibration on the rest."""
+    bound_batches(sample.sparkSession)
     part = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(10))
     learned = _lexicon(sample.where(part < 7))
 

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialise, shared_path
+from .shared import bound_batches, materialise, shared_path
 
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 256 << 20
@@ -191,6 +191,7 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
             rows += writer.close()
         yield out()
 
+    bound_batches(planned.sparkSession)
     return materialise(planned.mapInArrow(write, INDEX), "warc-index")
 
 
@@ -227,7 +228,7 @@ def read_archives(index: DataFrame, with_payload: bool = True) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return bundles.repartition(n, "bundle").mapInArrow(read, RECORD)
+    return bundles.repartition(n).mapInArrow(read, RECORD)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
