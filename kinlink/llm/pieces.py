@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .shared import bound_batches
 
 N_BEST = 4
 #: Bytes of text encoded at a time; more share more distinct units.
 CHUNK_BYTES = 6 << 20
 UNK_PENALTY = 10.0
+USER_DEFINED = -1e8
 _SLOT_BITS = 20
 
 
@@ -62,6 +64,9 @@ class PieceModel:
             elif not (m.is_control(i) or m.is_unknown(i) or m.is_unused(i)):
                 pieces[i] = name.replace("▁", " ").encode()
                 scores[i] = m.get_score(i)
+        # user-defined pieces (the lone space, runs of spaces) have no learned score: they are
+        # priced like the rarest piece that has one
+        scores[scores <= USER_DEFINED] = scores[scores > USER_DEFINED].min(initial=0.0)
         if (byte_ids < 0).any():
             raise ValueError("the model has no byte pieces")
         if any(b"\n" in p or b" " in p.lstrip(b" ") for p in pieces):
@@ -82,7 +87,7 @@ class PieceModel:
         self.slots = np.searchsorted(slot[order], np.arange((1 << _SLOT_BITS) + 1)).astype(np.int32)
         self.depth = int(np.diff(self.slots).max())
         self.longest = max(len(p.decode()) for p in self.pieces)
-        self.unk = float(self.scores[self.scores > -1e8].min(initial=0.0)) - UNK_PENALTY
+        self.unk = float(self.scores.min()) - UNK_PENALTY
         self.lookup = {p: i for i, p in enumerate(self.pieces) if p}
         text = [bytes([np.flatnonzero(self.byte_ids == i)[0]]) if not p and (self.byte_ids == i).any() else p for i, p in enumerate(self.pieces)]
         self.text, self.text_off = np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in text])])
@@ -307,6 +312,7 @@ def encode(docs: DataFrame, model: PieceModel, n: int = N_BEST, ids: bool = True
     The digest is of the ids as little-endian 32-bit integers; round_trip says that
     decoding them gives the text again, byte for byte.
     """
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean" + (", ids array<int>" if ids else "")
