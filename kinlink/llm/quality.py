@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .labelled import labelled_sample, platt, sigmoid
-from .shared import set_aside
+from .shared import bound_batches, set_aside
 
 #: Labelled rows at most that the regression and its calibration are fitted on.
 FIT_ROWS = 4000
@@ -31,6 +31,7 @@ FIT_ROWS = 4000
 KEEP_AT = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BITS = 16
+FIT_BLOCK = 200
 SCALE = 20.0
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -109,6 +110,8 @@ def base_statistics(data: np.ndarray, off: np.ndarray, s, e, first, px: K.Prefix
 def fit(sample: DataFrame) -> QualityModel:
     """Fit on rows (doc_id, text, y); every fifth row by id hash only calibrates."""
 
+    bound_batches(sample.sparkSession)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, off in K.chunked(batch.column("text")):
@@ -125,28 +128,38 @@ def fit(sample: DataFrame) -> QualityModel:
                     pa.array([col[cut[i]:cut[i + 1]].astype("<i4").tobytes() for i in rows], pa.binary()),
                     pa.array([x[cut[i]:cut[i + 1]].astype("<f4").tobytes() for i in rows], pa.binary())], ["doc_id", "y", "col", "x"])
 
-    got = sorted(map(tuple, sample.mapInArrow(features, "doc_id long, y int, col binary, x binary").collect()), key=lambda r: (r[0], r[1], bytes(r[2])))
-    y = np.array([r[1] for r in got], float)
-    held = K.mix(np.array([r[0] for r in got], np.int64).view(K.U)) % K.U(5) == 0
+    got = sample.mapInArrow(features, "doc_id long, y int, col binary, x binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending"), ("col", "ascending")])
+    ids, y = got.column("doc_id").to_numpy(), got.column("y").to_numpy().astype(float)
+    held = K.mix(ids.view(K.U)) % K.U(5) == 0
     w = np.zeros(2 << BITS)
     if len(set(y[~held])) < 2:
         return QualityModel(w, 0.0, 0.0, 35.0)
-    col = np.concatenate([np.frombuffer(r[2], "<i4") for r in got]).astype(np.int64)
-    val = np.concatenate([np.frombuffer(r[3], "<f4") for r in got]).astype(float) * SCALE
-    row = np.repeat(np.arange(len(got)), [len(r[2]) // 4 for r in got])
-    use = ~held[row]
-    c, v, r = col[use], val[use], row[use]
+    # blocks of rows, so that temporaries stay small
+    blocks = []
+    for a in range(0, len(y), FIT_BLOCK):
+        col, val = got.column("col").slice(a, FIT_BLOCK).to_pylist(), got.column("x").slice(a, FIT_BLOCK).to_pylist()
+        row = np.repeat(np.arange(a, a + len(col), dtype=np.int32), [len(c) // 4 for c in col])
+        blocks.append((np.frombuffer(b"".join(col), "<i4"), np.frombuffer(b"".join(val), "<f4") * np.float32(SCALE), row))
+    del got
+
+    def margins(w: np.ndarray, bias: float) -> np.ndarray:
+        z = np.full(len(y), bias)
+        for c, v, r in blocks:
+            z += np.bincount(r, weights=w[c] * v, minlength=len(y))
+        return z
+
     bias, m, u = 0.0, np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     share = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum()))
     share[held] = 0
     for t in range(1, 81):  # Adam over the whole sample, both labels with equal weight
-        z = bias + np.bincount(r, weights=w[c] * v, minlength=len(y))
-        err = share * (sigmoid(z) - y)
-        g = np.append(np.bincount(c, weights=err[r] * v, minlength=len(w)) + 1e-6 * w, err.sum())
+        err = share * (sigmoid(margins(w, bias)) - y)
+        g = np.append(1e-6 * w, err.sum())
+        for c, v, r in blocks:
+            g[:-1] += np.bincount(c, weights=err[r] * v, minlength=len(w))
         m, u = 0.9 * m + 0.1 * g, 0.99 * u + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(u / (1 - 0.99**t)) + 1e-9)
         w, bias = w - step[:-1], bias - step[-1]
-    z = bias + np.bincount(row, weights=w[col] * val, minlength=len(y))
+    z = margins(w, bias)
     fit_on = held if len(set(y[held])) == 2 else ~held
     slope, shift = platt(z[fit_on], y[fit_on])
     return QualityModel(w * SCALE, bias, slope, shift)
