@@ -75,11 +75,13 @@ def _map(items: dict[str, str]) -> Column:
 def transliterate(text: Column) -> Column:
     """Compatibility decomposition without combining marks, as far as it yields ASCII."""
     gone, one, to, many = _decompositions()
-    plain = F.translate(F.regexp_replace(text, gone, ""), one, to)
+    # the long classes are slow a character, so cheap supersets guard them
+    bare = F.when(text.rlike(r"[\p{M}\x{FF9E}\x{FF9F}]"), F.regexp_replace(text, gone, "")).otherwise(text)
+    plain = F.translate(bare, one, to)
     wide = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in many) + "]"
     table = _map(many)
     each = F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), F.lit(0)), lambda c: F.coalesce(F.try_element_at(table, c), c))
-    full = F.when(plain.rlike(wide), F.array_join(each, "")).otherwise(plain)
+    full = F.when(plain.rlike(r"[\x{BC}-\x{BE}\x{132}-\x{10FFFF}]") & plain.rlike(wide), F.array_join(each, "")).otherwise(plain)
     return F.when(text.rlike(r"[^\x00-\x7F]"), full).otherwise(text)
 
 
@@ -95,13 +97,15 @@ def _unglued(text: Column) -> Column:
     return F.replace(text, F.lit(GLUE), F.lit(" "))
 
 
+def _finished(expanded: Column, remove_suffix: bool) -> Column:
+    forms = "|".join(s.replace(" ", GLUE) for s in LEGAL_SUFFIXES)
+    words = F.regexp_replace(expanded, f"((^| )({forms}))+$", "") if remove_suffix else expanded
+    return F.trim(_unglued(words))
+
+
 def normalize_text(text: Column, remove_suffix: bool = False) -> Column:
     """Lower-case ASCII words with abbreviations expanded; remove_suffix cuts trailing legal forms."""
-    words = _expanded(text)
-    if remove_suffix:
-        forms = "|".join(s.replace(" ", GLUE) for s in LEGAL_SUFFIXES)
-        words = F.regexp_replace(words, f"((^| )({forms}))+$", "")
-    return F.trim(_unglued(words))
+    return _finished(_expanded(text), remove_suffix)
 
 
 def tokens(normal: Column) -> Column:
@@ -115,12 +119,9 @@ def blank(text: Column) -> Column:
 
 def add_normalized_columns(records: DataFrame) -> DataFrame:
     """records + name_norm, name_core, address_norm, name_tokens, address_tokens."""
-    r = records.withColumns({
-        "name_norm": normalize_text(F.col("business_name")),
-        "name_core": normalize_text(F.col("business_name"), remove_suffix=True),
-        "address_norm": normalize_text(F.col("business_address")),
-    })
-    return r.withColumns({"name_tokens": tokens(F.col("name_norm")), "address_tokens": tokens(F.col("address_norm"))})
+    r = records.withColumns({"_name": _expanded(F.col("business_name")), "_address": _expanded(F.col("business_address"))})
+    r = r.withColumns({"name_norm": _finished(F.col("_name"), False), "name_core": _finished(F.col("_name"), True), "address_norm": _finished(F.col("_address"), False)})
+    return r.drop("_name", "_address").withColumns({"name_tokens": tokens(F.col("name_norm")), "address_tokens": tokens(F.col("address_norm"))})
 
 
 def blocking_tokens(name_tokens: Column, address_tokens: Column) -> Column:

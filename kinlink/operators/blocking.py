@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinlink.functions.text import add_normalized_columns, blocking_tokens
-from kinlink.sources.store import postings
+from kinlink.sources.scratch import scratch_path
 
 TOP_K_CLI, TOP_K_API = 60, 250
 
@@ -38,9 +38,34 @@ def top_candidates(pairs: DataFrame, k: int | None) -> DataFrame:
     return ranked if k is None or k < 0 else ranked.where(F.col("rank") <= k)
 
 
+def numbered(records: DataFrame) -> DataFrame:
+    """(num, entity_id, country, tokens), written once; nums are longs in the order of the ids.
+
+    Range partitions sorted within give that order without a task that sees all rows; the
+    written table keeps the numbers fixed for every reader and retry.
+    """
+    spark = records.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch_path(spark, "numbered")
+    ordered = records.repartitionByRange(n, "entity_id").sortWithinPartitions("entity_id").withColumn("num", F.monotonically_increasing_id())
+    # normalised after the range exchange, whose sampling reads its input once more
+    r = _normalized(ordered).select("num", "entity_id", "country", blocking_tokens(F.col("name_tokens"), F.col("address_tokens")).alias("tokens"))
+    r.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def candidates(source1: DataFrame, targets: DataFrame, k: int | None = TOP_K_API) -> DataFrame:
-    """(s1, cand, overlap, rank) against target records."""
-    return top_candidates(overlaps(source1, postings(_normalized(targets))), k)
+    """(s1, cand, overlap, rank) against target records.
+
+    Pairs are counted and ranked as two longs, and get their ids back after the cut.
+    """
+    s, t = numbered(source1), numbered(targets)
+    left = s.select(F.col("num").alias("s1"), "country", F.explode("tokens").alias("token"))
+    right = t.select(F.col("num").alias("cand"), "country", F.explode("tokens").alias("token"))
+    pairs = left.join(right, ["country", "token"]).groupBy("s1", "cand").agg(F.count(F.lit(1)).alias("overlap"))
+    top = top_candidates(pairs, k).withColumnsRenamed({"s1": "a", "cand": "b"})
+    named = top.join(s.select(F.col("num").alias("a"), F.col("entity_id").alias("s1")), "a").join(t.select(F.col("num").alias("b"), F.col("entity_id").alias("cand")), "b")
+    return named.select("s1", "cand", "overlap", "rank")
 
 
 def candidate_map(source1: DataFrame, ranked: DataFrame) -> DataFrame:

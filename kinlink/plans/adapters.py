@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as records: source by id, name and address from the first words."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    words = F.split(F.regexp_extract("text", r"^\s*(\S+(?:\s+\S+){0,13})", 1), r"\s+")
+    words = F.filter(words, lambda w: w != "")
     d = d.select("doc_id", "lang", words.alias("w"))
     return d.select(F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
                     F.array_join(F.slice("w", 1, 6), " ").alias("business_name"), F.array_join(F.slice("w", 7, 8), " ").alias("business_address"), F.col("lang").alias("country"))

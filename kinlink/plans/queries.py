@@ -119,13 +119,17 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    s1, targets = _raw_sides(spark, sf)
+    return add_normalized_columns(s1), add_normalized_columns(targets)
+
+
+def _raw_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     raw = adapters.document_records(spark, sf)
-    return add_normalized_columns(adapters.source(raw, 1)), add_normalized_columns(adapters.source(raw, 2, 3))
+    return adapters.source(raw, 1), adapters.source(raw, 2, 3)
 
 
 def _top(spark: SparkSession, sf: str, k: int | None = K) -> DataFrame:
-    s1, targets = _sides(spark, sf)
-    return blocking.candidates(s1, targets, k)
+    return blocking.candidates(*_raw_sides(spark, sf), k)
 
 
 def _truth(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,14 +221,14 @@ def _(spark, sf):
 from r left join top on s1 = entity_id where entity_id like 'S1-%' group by entity_id"""))
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
-    m = blocking.candidate_map(s1, blocking.candidates(s1, targets))
+    m = blocking.candidate_map(s1, _top(spark, sf, blocking.TOP_K_API))
     return m.select("s1", F.size("candidates").cast("long").alias("n"), F.array_join("candidates", ",").alias("candidates"))
 
 
 @_query("fetch_records_semi", _with(_DOCS, _NORM, _BLOCK, end="select entity_id, name_norm, address_norm, country from r where entity_id in (select cand from top)"))
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
-    ids = blocking.candidates(s1, targets, K).select(F.col("cand").alias("entity_id"))
+    ids = _top(spark, sf).select(F.col("cand").alias("entity_id"))
     return store.fetch_records(targets, ids).select("entity_id", "name_norm", "address_norm", "country")
 
 
@@ -291,7 +295,7 @@ def _(spark, sf):
 from r left join top on s1 = entity_id where entity_id like 'S1-%' group by entity_id"""))
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
-    return sink.id_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), blocking.candidates(s1, targets, K), "candidate_entity_ids")
+    return sink.id_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), _top(spark, sf), "candidate_entity_ids")
 
 
 @_query("match_list_sink", _with(_DOCS, _NORM, _BLOCK, _TRUTH, end="""select entity_id as source1_entity_id, coalesce(string_agg(distinct top.cand, ',' order by top.cand) filter (where tp.cand is not null), '') as matched_entity_ids
@@ -299,7 +303,7 @@ from r left join top on top.s1 = entity_id left join tp on tp.s1 = top.s1 and tp
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
     pairs = truth_pairs(adapters.document_truth(spark, sf))
-    return sink.match_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), blocking.candidates(s1, targets, K), pairs)
+    return sink.match_lists(s1.select(F.col("entity_id").alias("source1_entity_id")), _top(spark, sf), pairs)
 
 
 @_query("truth_explode", _with(_DOCS, _TRUTH, end="select distinct s1, cand from tp"))
@@ -350,7 +354,7 @@ def _(spark, sf):
                                 end="select round(case when t = 0 then 1.0 else h / t::double end, 6)::double as recall, round(1 - n / greatest(1, m * (select count(*) from rec where entity_id not like 'S1-%'))::double, 6) as reduction from z"))
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
-    out = blocking.recall_ceiling(_truth(spark, sf), blocking.candidate_map(s1, blocking.candidates(s1, targets, K)), targets)
+    out = blocking.recall_ceiling(_truth(spark, sf), blocking.candidate_map(s1, _top(spark, sf)), targets)
     return out.select(F.round("recall", 6).alias("recall"), F.round("reduction", 6).alias("reduction"))
 
 
@@ -402,7 +406,7 @@ aud as (select case when n % 17 = 0 then 'S1-x' || (n % 2) else s1 end s1, ids f
 
 def _audited(spark: SparkSession, sf: str) -> DataFrame:
     s1, targets = _sides(spark, sf)
-    m = blocking.candidate_map(s1, blocking.candidates(s1, targets, 3)).withColumn("n", F.substring("s1", 4, 20).cast("long"))
+    m = blocking.candidate_map(s1, _top(spark, sf, 3)).withColumn("n", F.substring("s1", 4, 20).cast("long"))
     c, n = F.col("candidates"), F.col("n")
     more = lambda x: F.concat(c, F.array(x))
     ids = F.when(n % 7 == 0, more(F.lit("S1-0"))).when(n % 11 == 0, more(F.lit("X9-1"))).when((n % 5 == 0) & (F.size(c) > 0), more(F.get(c, F.lit(0)))).when(n % 13 == 0, more(F.lit("S2-none"))).otherwise(c)
@@ -443,7 +447,7 @@ def _(spark, sf):
 @_query("subset_violation", _with(_DOCS, _NORM, _BLOCK, _AUDITED, end="select distinct s1 from (select s1, unnest(ids) i from aud) x where not exists (select 1 from top where top.s1 = x.s1 and cand = i)"))
 def _(spark, sf):
     s1, targets = _sides(spark, sf)
-    return audit.outside_candidates(_audited(spark, sf), blocking.candidate_map(s1, blocking.candidates(s1, targets, K)).select("s1", F.col("candidates").alias("ids")))
+    return audit.outside_candidates(_audited(spark, sf), blocking.candidate_map(s1, _top(spark, sf)).select("s1", F.col("candidates").alias("ids")))
 
 
 _LINES = [(1, "source1_entity_id\tmatched_entity_ids"), (2, "S1-1\tS2-1,,S2-2"), (3, "S1-2\t"), (4, "no tab here"), (5, ""), (6, " S1-3\tS2-1, S3-2"), (7, "S1-4\tS2-1\tS2-2")]
