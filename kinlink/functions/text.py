@@ -75,8 +75,9 @@ def _map(items: dict[str, str]) -> Column:
 def transliterate(text: Column) -> Column:
     """Compatibility decomposition without combining marks, as far as it yields ASCII."""
     gone, one, to, many = _decompositions()
-    # the long classes are slow a character, so cheap supersets guard them
-    bare = F.when(text.rlike(r"[\p{M}\x{FF9E}\x{FF9F}]"), F.regexp_replace(text, gone, "")).otherwise(text)
+    # the long classes are slow a character, so cheap supersets guard them; marks newer than
+    # the JVM count as unassigned there
+    bare = F.when(text.rlike(r"[\p{M}\p{Cn}\x{FF9E}\x{FF9F}]"), F.regexp_replace(text, gone, "")).otherwise(text)
     plain = F.translate(bare, one, to)
     wide = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in many) + "]"
     table = _map(many)
