@@ -49,15 +49,27 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of P(y = 1), by Newton steps with a small ridge."""
-    a, b = 1.0, 0.0
-    x = np.stack([score, np.ones_like(score)], 1)
-    for _ in range(50):
-        p = sigmoid(a * score + b)
-        g = x.T @ (p - y) + 1e-2 * np.array([a - 1.0, 0.0])
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-8:
+    """Slope and intercept of P(y = 1), never falling in the score.
+
+    Scores are standardised and targets smoothed, so separable labels have a finite fit;
+    Newton steps are halved until they lower the loss.
+    """
+    mean, spread = float(score.mean()), float(score.std()) or 1.0
+    n1 = float(y.sum())
+    n0 = len(y) - n1
+    t = np.where(y > 0.5, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    x = np.stack([(score - mean) / spread, np.ones_like(score)], 1)
+    loss = lambda v: float(np.sum(np.logaddexp(0, x @ v) - t * (x @ v)) + 5e-4 * v @ v)
+    v = np.array([1.0, 0.0])
+    for _ in range(100):
+        p = sigmoid(x @ v)
+        g = x.T @ (p - t) + 1e-3 * v
+        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step, size = np.linalg.solve(h, g), 1.0
+        while size > 1e-6 and loss(v - size * step) > loss(v):
+            size /= 2
+        v = v - size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return float(a), float(b)
+    slope = max(float(v[0]), 0.0) / spread
+    return slope, float(v[1]) - slope * mean

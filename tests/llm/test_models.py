@@ -131,3 +131,24 @@ def test_labels_rows_are_bounded(spark):
     d = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     l = d.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
     assert toxicity.labelled_sample(d, l.union(l), "toxic", 9).count() == 9
+
+
+def test_calibration_of_separable_scores_stays_finite_and_separates():
+    from kinlink.llm.labelled import platt, sigmoid
+
+    for n0, n1, gap in ((10, 790, 5.0), (400, 400, 60.0), (3, 5, 0.1)):
+        rng = np.random.default_rng(n0)
+        score = np.concatenate([rng.normal(-gap, 1e-2, n0), rng.normal(gap, 1e-2, n1)]) * 3 + 1000
+        a, b = platt(score, np.repeat([0.0, 1.0], [n0, n1]))
+        p = sigmoid(a * score + b)
+        assert np.isfinite([a, b]).all() and p[:n0].max() < 0.5 < p[n0:].min()
+    a, b = platt(np.array([1.0, 2, 3, 4]), np.array([1.0, 1, 0, 0]))  # a falling score carries no slope
+    assert a == 0 and abs(sigmoid(b) - 0.5) < 0.01
+
+
+def test_quality_drops_junk_of_all_documents(spark):
+    d, l = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    junk = F.expr("regexp_count(text, '[#*$%&]{3}') > 5 or regexp_count(text, '!!') > 5 or regexp_count(text, ' \\\\| ') > 5")
+    out = quality.quality_rules(d, l).join(d.select("doc_id", junk.alias("junk")), "doc_id").where("not base_failed")
+    n = {(r["junk"], r["kept"]): r["count"] for r in out.groupBy("junk", "kept").count().collect()}
+    assert n.get((True, True), 0) <= 0.01 * n[True, False] and n.get((False, False), 0) <= 0.005 * n[False, True]
