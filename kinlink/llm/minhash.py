@@ -5,7 +5,8 @@ hashes.  Two sets link if 100 * |x & y| >= percent * |x | y|.
 
 1. Inverted lists of the retained values: a text with too few values that any other
    text retains cannot link and leaves.  The bound is the expected number less
-   ``SIGMAS`` standard deviations; sets of up to K shingles are judged exactly.
+   ``SIGMAS`` standard deviations; for sets of up to K shingles it is the least number
+   that a linked partner can retain, so none of their links is lost.
 2. The remaining texts' whole sets go into inverted lists; set elements are ordered by
    list length, rarest first.  Equal texts count once (their smallest id).
 3. Star candidates: each list links to its most shared member.  Union sketches
@@ -140,6 +141,17 @@ def _look_up(x: np.ndarray, v: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(v[at] == x, n[at], 1).astype(np.int64)
 
 
+def least_retained(n: np.ndarray, percent: int) -> np.ndarray:
+    """For sets of n <= SKETCH values: how many of them any linked partner retains at least.
+
+    A partner of m values shares ceil(percent * (n + m) / (100 + percent)) or more and
+    retains all but m - SKETCH, so the largest partner retains the fewest.
+    """
+    m = 100 * n // percent
+    both = -(-percent * (n + m) // (100 + percent))
+    return np.minimum(-(-percent * n // 100), both - np.maximum(m - SKETCH, 0))
+
+
 def possible(batches: DataFrame, percent: int) -> DataFrame:
     """(doc_id, n, h1, h2) of texts whose sketch shares enough values with others."""
     t = percent / 100
@@ -152,7 +164,7 @@ def possible(batches: DataFrame, percent: int) -> DataFrame:
             first = np.concatenate([[0], np.cumsum(x["kept"])])
             shared = _segment_sum((_look_up(x["vals"], v, n) > 1).astype(np.int64), first)
             k = x["kept"]
-            need = np.where(x["sizes"] <= SKETCH, np.ceil(k * percent / 100 - 1e-9), k * t - SIGMAS * np.sqrt(k * t * (1 - t)))
+            need = np.where(x["sizes"] <= SKETCH, least_retained(k, percent), k * t - SIGMAS * np.sqrt(k * t * (1 - t)))
             ok = (k > 0) & (shared >= need) & (x["valid"] > 0)
             for c, y in zip(cols, (x["ids"], x["sizes"], x["h1"].view("<i8"), x["h2"].view("<i8")), strict=True):
                 c.append(y[ok])

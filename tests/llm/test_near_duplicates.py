@@ -65,6 +65,28 @@ def test_components_equal_brute_force(spark):
         assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in out.collect())
 
 
+def test_small_sets_link_with_partners_larger_than_a_sketch(spark):
+    for percent, sizes in ((85, (55, 61, 62, 63, 64)), (80, (52, 61, 62, 63, 64))):
+        docs = []
+        for n in sizes:
+            for m in range(65, 100 * n // percent + 1):
+                for copy in range(3):
+                    words = [f"w{n}x{m}x{copy}x{i}" for i in range(m + 4)]
+                    docs += [(len(docs), " ".join(words[: n + 4])), (len(docs) + 1, " ".join(words))]
+        out = minhash.near_duplicates(spark.createDataFrame(docs, SCHEMA).repartition(3), percent)
+        assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {d: d - d % 2 for d, _ in docs}
+
+
+def test_the_bound_of_small_sets_is_the_least_of_all_partners():
+    import numpy as np
+
+    for percent in (50, 80, 85, 90, 100):
+        for n in range(1, minhash.SKETCH + 1):
+            partners = range(-(-percent * n // 100), 100 * n // percent + 1)
+            least = min(-(-percent * (n + m) // (100 + percent)) - max(0, m - minhash.SKETCH) for m in partners)
+            assert minhash.least_retained(np.array([n]), percent)[0] == least
+
+
 def test_repeated_rows_shared_ids_and_extra_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     d = spark.createDataFrame([(3, text, 1), (3, text, 2), (1, "other words are here now", 3), (3, "third text of the same id", 4)], "doc_id long, text string, n_shingles int")
