@@ -473,9 +473,9 @@ def _(spark, sf):
 
 @_query("gbt_matches")
 def _(spark, sf):
-    """Trees fitted on all candidate pairs with exact copies as truth; fewer rounds than the command line's."""
+    """Trees fitted on all candidate pairs with exact copies as truth, as many rounds as the command line's."""
     path = scratch_path(spark, "labelled")
     s1, targets = _sides(spark, sf)
     learn.pair_labels(feature_frame(_top(spark, sf), s1, targets), truth_pairs(adapters.document_truth(spark, sf))).write.parquet(path)
     labelled = spark.read.parquet(path)
-    return learn.PairMatcher(decide.RULE_THRESHOLD, rounds=20).fit(labelled).matches(labelled)
+    return learn.PairMatcher(decide.RULE_THRESHOLD).fit(labelled).matches(labelled)

@@ -82,6 +82,26 @@ def test_matcher_learns_and_refuses_before(spark, sides):
     assert m.predict_ids(f.limit(0)).count() == 0
 
 
+def test_the_registered_matcher_has_all_rounds(monkeypatch):
+    from kinlink.plans import queries
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *a, **b: self
+
+        read = write = property(lambda self: self)
+
+    rounds = []
+    monkeypatch.setattr(learn.PairMatcher, "fit", lambda self, labelled: rounds.append(self.rounds) or self)
+    monkeypatch.setattr(learn.PairMatcher, "matches", lambda self, labelled: labelled)
+    monkeypatch.setattr(learn, "pair_labels", lambda *a: Frame())
+    for name in ("scratch_path", "_sides", "_top", "feature_frame", "truth_pairs"):
+        monkeypatch.setattr(queries, name, lambda *a: (Frame(), Frame()) if len(a) == 2 else Frame())
+    monkeypatch.setattr(queries.adapters, "document_truth", lambda *a: Frame())
+    queries.QUERIES["gbt_matches"](Frame(), "")
+    assert rounds == [120]
+
+
 def test_ordered_lists(spark):
     d = spark.createDataFrame([("a", "z", 0.9), ("a", "b", 0.8), ("a", "a", 0.8)], "s1 string, cand string, score double")
     assert decide.match_lists_by_score(d).first()["matches"] == ["z", "a", "b"]
