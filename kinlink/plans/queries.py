@@ -1,6 +1,6 @@
 """Registered queries of the record-linkage engine and their DuckDB SQL.
 
-All run over whole tables: documents as records, S1 against S2 and S3, top 60.
+All run over all rows: documents as records of their first 14 words, S1 against S2 and S3, top 60.
 """
 
 from __future__ import annotations
