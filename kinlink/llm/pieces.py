@@ -250,7 +250,15 @@ class Encoded:
     ids: np.ndarray
     first: np.ndarray
     score: np.ndarray
-    nbest: list[list[tuple[float, list[tuple[int, list[int]]]]]]  # score, [(unit of the text, its ids)]
+    nbest: list[list[tuple[float, list[tuple[int, int, list[int]]]]]]  # score, [(position in the text's ids, ids that go, ids in their place)]
+
+    def segmentation(self, i: int, k: int) -> np.ndarray:
+        """All ids of the k-th best segmentation of text i; 0 is the best."""
+        ids, parts, at = self.ids[self.first[i] : self.first[i + 1]], [], 0
+        for p, gone, new in self.nbest[i][k][1]:
+            parts += [ids[at:p], np.array(new, ids.dtype)]
+            at = p + gone
+        return np.concatenate([*parts, ids[at:]])
 
 
 def encode_chunk(m: PieceModel, data: np.ndarray, off: np.ndarray, n: int) -> Encoded:
@@ -287,9 +295,13 @@ def encode_chunk(m: PieceModel, data: np.ndarray, off: np.ndarray, n: int) -> En
             w = int(which[a + u])
             if w not in done:
                 c, l, s = cs[w], cl[w], lat.base[w]
-                done[w] = backward(m, data[chars[c] : chars[c + l]].tobytes(), lat.alpha[s : s + l + 1], n)
+                found = backward(m, data[chars[c] : chars[c + l]].tobytes(), lat.alpha[s : s + l + 1], n)
+                # of equal scores the forward path is the first
+                own = lat.ids[lat.first[w] : lat.first[w + 1]].tolist()
+                others = [p for _, p in found if p != own]
+                done[w] = [(f, p) for (f, _), p in zip(found, [own, *others], strict=False)]
             paths.append(done[w])
-        best.append([(f, [(int(top[j]), paths[j][k][1]) for j, k in enumerate(pick) if k]) for f, pick in join_best([[p[0] for p in x] for x in paths], float(score[i]), n)])
+        best.append([(f, [(int(to[a + top[j]] - to[a]), int(count[a + top[j]]), paths[j][k][1]) for j, k in enumerate(pick) if k]) for f, pick in join_best([[p[0] for p in x] for x in paths], float(score[i]), n)])
     return Encoded(ids, to[first], score, best)
 
 
@@ -307,15 +319,18 @@ def decode(m: PieceModel, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarra
 
 
 def encode(docs: DataFrame, model: PieceModel, n: int = N_BEST, ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, score, nbest_scores, ids_sha256, round_trip and, if asked for, ids.
+    """doc_id, n_tokens, score, nbest_scores, nbest_sha256, ids_sha256, round_trip and, if asked for, ids and nbest_changes.
 
-    The digest is of the ids as little-endian 32-bit integers; round_trip says that
-    decoding them gives the text again, byte for byte.
+    The digests are of the ids as little-endian 32-bit integers, nbest_sha256 of each
+    segmentation's, the best first; round_trip says that decoding the best gives the text
+    again, byte for byte.  nbest_changes has what each segmentation changes in ids: from
+    position ``at`` on, ``gone`` of them are replaced by ``new``.
     """
     bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean" + (", ids array<int>" if ids else "")
+    schema = "doc_id long, n_tokens long, score double, nbest_scores array<double>, nbest_sha256 array<string>, ids_sha256 string, round_trip boolean" + (", ids array<int>, nbest_changes array<array<struct<at:int,gone:int,new:array<int>>>>" if ids else "")
+    changes = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("new", pa.list_(pa.int32()))])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value.prepare()
@@ -328,11 +343,13 @@ def encode(docs: DataFrame, model: PieceModel, n: int = N_BEST, ids: bool = True
                 same = np.diff(at) == np.diff(off)
                 ok = [bool(same[i]) and np.array_equal(again[at[i] : at[i + 1]], data[off[i] : off[i + 1]]) for i in rows]
                 cols = [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(x.first)), pa.array(x.score), pa.array([[f for f, _ in best] for best in x.nbest], pa.list_(pa.float64())),
+                        pa.array([[hashlib.sha256(x.segmentation(i, k).astype("<i4").tobytes()).hexdigest() for k in range(len(x.nbest[i]))] for i in rows], pa.list_(pa.string())),
                         pa.array([hashlib.sha256(raw[x.first[i] : x.first[i + 1]].tobytes()).hexdigest() for i in rows], pa.string()), pa.array(ok, pa.bool_())]
-                names = ["doc_id", "n_tokens", "score", "nbest_scores", "ids_sha256", "round_trip"]
+                names = ["doc_id", "n_tokens", "score", "nbest_scores", "nbest_sha256", "ids_sha256", "round_trip"]
                 if ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(raw)))
-                    names.append("ids")
+                    cols.append(pa.array([[[{"at": p, "gone": g, "new": new} for p, g, new in c] for _, c in best] for best in x.nbest], changes))
+                    names += ["ids", "nbest_changes"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return d.mapInArrow(run, schema)

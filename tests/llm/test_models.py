@@ -120,6 +120,30 @@ def test_n_best_equals_brute_force_and_decodes(model):
         assert total and abs(total[0] - want[0][0]) < 1e-6
 
 
+def test_every_segmentation_is_delivered(spark, model):
+    import hashlib
+
+    texts = ["hello world", "a b", "", "  a  b\nc\td ﬁ", "some longer words stand here, twice: some longer words", "abab" * 10]
+    d = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    digest = lambda ids: hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+    short = {r["doc_id"]: r["nbest_sha256"] for r in pieces.encode(d, pieces.default_model(), ids=False).collect()}
+    for r in pieces.encode(d, pieces.default_model()).collect():
+        text, n = texts[r["doc_id"]], len(r["nbest_scores"])
+        want = best_paths(model, text, n + 20)
+        got = []
+        for changes in r["nbest_changes"]:
+            ids = list(r["ids"])
+            for c in reversed(changes):
+                ids[c["at"] : c["at"] + c["gone"]] = c["new"]
+            got.append(tuple(ids))
+        assert n == len(got) == len(set(got)) == min(len(want), pieces.N_BEST) and got[0] == tuple(r["ids"])
+        by = dict((p, f) for f, p in want)
+        assert np.allclose([by[g] for g in got], r["nbest_scores"])
+        assert [digest(g) for g in got] == r["nbest_sha256"] == short[r["doc_id"]] and r["nbest_sha256"][0] == r["ids_sha256"]
+        again, _ = pieces.decode(model, np.concatenate([np.array(g, np.int64) for g in got]), np.concatenate([[0], np.cumsum([len(g) for g in got])]))
+        assert again.tobytes().decode() == text * n
+
+
 def test_encoding_rows(spark, model):
     d = spark.createDataFrame([(1, "hello world", "x"), (1, "hello world", "y"), (None, None, "z"), (2, "w" * 3000, "q")], SCHEMA + ", ids string")
     rows = pieces.encode(d, pieces.default_model()).collect()
