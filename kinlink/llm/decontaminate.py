@@ -11,7 +11,9 @@ whole Arrow batch are summed in numpy, a passage whose bounds fail in every bloc
 no pivot and ends there; the others run block-max WAND over the blocks that are left.
 Retrieved items are verified: of the words of the question and of the words of the
 answer (the item's last sentence, or last fifth) the share ``overlap`` must lie in
-five-word shingles that the passage has.
+five-word shingles that the passage has.  An answer shorter than a shingle counts with
+the words before it, up to five, each of which may also follow the item's last shingle in
+the passage word by word: one edit at the item's end does not hide it.
 
 Items are gathered in shards of a bounded size; one shard's index is broadcast at a
 time, with document frequencies counted over all items.
@@ -145,18 +147,34 @@ def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: fl
     return Index([r[0] for r in rows], terms, start, i, x, block, bounds, words, [_answer_start(r[1], len(w)) for r, w in zip(rows, words, strict=True)])
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest common subsequence."""
+    best = [0] * (len(y) + 1)
+    for a in x.tolist():
+        last = 0
+        for j, b in enumerate(y.tolist(), 1):
+            last, best[j] = best[j], last + 1 if a == b else max(best[j], best[j - 1])
+    return best[-1]
+
+
 def overlaps(item: np.ndarray, answer: int, passage: np.ndarray) -> tuple[float, float]:
-    """Shares of the question's and the answer's words in five-word shingles of the passage."""
+    """Shares of the question's and the answer's words in five-word shingles of the passage; short answers as above."""
     n = SHINGLE
     if len(item) < n or len(passage) < n:
         return 0.0, 0.0
     sh = lambda w: K.runs(w, np.array([0, len(w)]), n, whole=False)[0]
-    hit = np.isin(sh(item), sh(passage))
+    own, other = sh(item), sh(passage)
+    hit = np.isin(own, other)
     mark = np.zeros(len(item) + 1, np.int64)
     np.add.at(mark, np.flatnonzero(hit), 1)
     np.add.at(mark, np.flatnonzero(hit) + n, -1)
     covered = np.cumsum(mark)[:-1] > 0
-    return float(covered[:answer].mean()), float(covered[answer:].mean())
+    q, a = float(covered[:answer].mean()), float(covered[answer:].mean())
+    if len(item) - answer < n and hit.any() and not hit[-1]:
+        i = int(np.flatnonzero(hit)[-1])
+        # one word more than the item has from there: an inserted one
+        a = max(a, *(_common(item[-n:], passage[p : p + len(item) - i + 1]) / n for p in np.flatnonzero(other == own[i])))
+    return q, a
 
 
 def search_chunk(index: Index, data: np.ndarray, off: np.ndarray, stride: int, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:

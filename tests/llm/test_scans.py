@@ -108,3 +108,18 @@ def test_a_changed_word_does_not_hide_a_leak(spark):
     b = spark.createDataFrame([(1, text)], "item_id long, text string")
     d = spark.createDataFrame([(1, sentence(rng, 300) + " " + " ".join(w))], SCHEMA)
     assert dc.find_leaks(d, b).count() == 1
+
+
+def test_an_edit_at_the_end_does_not_hide_an_item_with_a_short_answer(spark):
+    rng = random.Random(11)
+    items, docs, want = [], [], set()
+    for i, n in enumerate((1, 2, 3, 4)):
+        q, a = sentence(rng, 40).split(), sentence(rng, n).split()
+        items.append((i, f"{' '.join(q)}? {' '.join(a)}."))
+        edits = [[*q, *a[:-1]], [*q, *a[:-1], "changed"], [*q[:-1], *a], [*q[:-1], "changed", *a], [*q, "inserted", *a]]
+        left = [q[:-4], [*q[:-3], "other", "words", "stand", "here", "now"]]
+        for k, w in enumerate(edits + left):
+            docs.append((100 * i + k, f"{sentence(rng, 150)} {' '.join(w)} {sentence(rng, 150)}"))
+        want |= {(100 * i + k, i) for k in range(len(edits))}
+    b, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, SCHEMA)
+    assert {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(d, b).collect()} == want
