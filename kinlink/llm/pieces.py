@@ -9,13 +9,21 @@ the next best path.
 
 No piece has a space except at its start and none has a line feed, so a text's
 lattice is a chain of independent units (a run of spaces and the word after it).
-The forward pass runs over all distinct units of an Arrow batch at once in numpy.
+The forward pass runs over all distinct units of an Arrow batch at once in numpy; a
+unit of more than ``LONG`` characters has its pieces found at once and is walked alone.
 The N best of a text only ever deviate in the N - 1 units whose second best path
 costs least, so A* runs on those and a heap joins their paths: still exact.
 
+Work is bounded by the size of the text: A* leaves a position after N visits (the N best
+paths need no more than the N best ways from it to the end), and of equal scores it
+follows the one nearest the start, so ties never spread.
+
 Defined cases: a null or empty text has no tokens, score 0 and one segmentation; equal
-scores prefer the longer last piece; U+2581 itself is byte pieces, so decoding gives
-back every text byte for byte; a text with fewer than N segmentations lists all.
+scores prefer the longer last piece, in the best path, and any order among the others;
+U+2581 itself is byte pieces, so decoding gives back every text byte for byte; a text with
+fewer than N segmentations lists all; a very long text, also one without spaces, is encoded
+whole, in time and memory in proportion to its length; repeated rows give equal rows;
+other columns, whatever their names, are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -39,6 +47,8 @@ CHUNK_BYTES = 6 << 20
 UNK_PENALTY = 10.0
 USER_DEFINED = -1e8
 _SLOT_BITS = 20
+#: Characters of a unit beyond which it is walked alone.
+LONG = 256
 
 
 @dataclass
@@ -129,6 +139,34 @@ class Lattice:
     first: np.ndarray  # per unit: its first token, one more at the end
 
 
+def _edges(m: PieceModel, px: K.Prefix, pos: np.ndarray) -> tuple[list[int], list[int], list[int], list[float]]:
+    """All pieces of one unit by their end: end and size in characters, piece (-1: none), score."""
+    ends, sizes, found = [], [], []
+    for n in range(1, min(m.longest, len(pos) - 1) + 1):
+        got = m.find(px.span(pos[:-n], pos[n:]))
+        at = np.arange(len(got)) if n == 1 else np.flatnonzero(got >= 0)
+        ends.append(at + n)
+        sizes.append(np.full(len(at), n))
+        found.append(got[at])
+    end, size, piece = np.concatenate(ends), np.concatenate(sizes), np.concatenate(found)
+    order = np.argsort(end, kind="stable")  # smaller pieces stay first
+    piece = piece[order]
+    return end[order].tolist(), size[order].tolist(), piece.tolist(), np.where(piece >= 0, m.scores[piece], m.unk).tolist()
+
+
+def _forward_alone(m: PieceModel, px: K.Prefix, pos: np.ndarray) -> tuple[list[float], list[float], list[int], list[int]]:
+    """alpha, loss, span and piece of every node of one long unit."""
+    n = len(pos)
+    alpha, other, span, piece = [0.0] + [-np.inf] * (n - 1), [-np.inf] * n, [0] * n, [-1] * n
+    for e, k, i, s in zip(*_edges(m, px, pos), strict=True):
+        v = alpha[e - k] + s
+        if v >= alpha[e]:
+            alpha[e], other[e], span[e], piece[e] = v, alpha[e], k, i
+        elif v > other[e]:
+            other[e] = v
+    return alpha, [x - y if y > -np.inf else np.inf for x, y in zip(alpha, other, strict=True)], span, piece
+
+
 def forward(m: PieceModel, data: np.ndarray, px: K.Prefix, chars: np.ndarray, cs: np.ndarray, cl: np.ndarray) -> Lattice:
     """cs, cl: each unit's first character and number of characters; chars: byte offsets."""
     order = np.argsort(-cl, kind="stable")
@@ -137,13 +175,18 @@ def forward(m: PieceModel, data: np.ndarray, px: K.Prefix, chars: np.ndarray, cs
     alpha, loss = np.full(base[-1], -np.inf), np.full(base[-1], np.inf)
     span, piece = np.zeros(base[-1], np.int64), np.full(base[-1], -1, np.int64)
     alpha[base[:-1]] = 0
-    active = np.searchsorted(-cl, -np.arange(1, (cl[0] if len(cl) else 0) + 1), "right")
-    for p, k in enumerate(active, 1):
-        node, end = base[:k] + p, chars[cs[:k] + p]
+    alone = int((cl > LONG).sum())
+    for u in range(alone):
+        nodes = slice(base[u], base[u + 1])
+        alpha[nodes], loss[nodes], span[nodes], piece[nodes] = _forward_alone(m, px, chars[cs[u] : cs[u] + cl[u] + 1])
+    active = np.searchsorted(-cl, -np.arange(1, (cl[alone] if len(cl) > alone else 0) + 1), "right")
+    for p, to in enumerate(active, 1):
+        k = to - alone
+        node, end = base[alone:to] + p, chars[cs[alone:to] + p]
         best, other = np.full(k, -np.inf), np.full(k, -np.inf)
         bl, bi = np.zeros(k, np.int64), np.full(k, -1, np.int64)
         for n in range(1, min(p, m.longest) + 1):
-            start = chars[cs[:k] + p - n]
+            start = chars[cs[alone:to] + p - n]
             got = m.find(px.span(start, end))
             use = np.flatnonzero(got >= 0) if n > 1 else np.arange(k)
             if not len(use):
@@ -156,22 +199,35 @@ def forward(m: PieceModel, data: np.ndarray, px: K.Prefix, chars: np.ndarray, cs
             best[w], bl[w], bi[w] = v[up], n, got[w]
         alpha[node], span[node], piece[node] = best, bl, bi
         loss[node] = np.where(np.isfinite(other), best - other, np.inf)
-    # walk the best paths back, all units a step at a time
+    # walk the best paths back, all units a step at a time, long ones alone
     n_units = len(cs)
-    at, unit, second = cl.copy(), np.arange(n_units), np.full(n_units, np.inf)
+    tokens, second = np.zeros(n_units, np.int64), np.full(n_units, np.inf)
+    walked: list[np.ndarray] = []
+    for u in range(alone):
+        back, p = span[base[u] : base[u + 1]].tolist(), int(cl[u])
+        path = []
+        while p:
+            path.append(p)
+            p -= back[p]
+        nodes = np.array(path[::-1], np.int64)
+        walked.append(nodes)
+        tokens[u], second[u] = len(nodes), loss[base[u] + nodes].min()
+    unit = np.arange(alone, n_units)
+    at = cl[alone:].copy()
     steps: list[tuple] = []
     while len(unit):
         node = base[unit] + at
         second[unit] = np.minimum(second[unit], loss[node])
         at = at - span[node]
         steps.append((unit, piece[node], cs[unit] + at))
+        tokens[unit] += 1
         go = at > 0
         unit, at = unit[go], at[go]
-    tokens = np.zeros(n_units, np.int64)
-    for u, _, _ in steps:
-        tokens[u] += 1
     at = np.cumsum(tokens)
     pid, char = np.zeros(at[-1] if n_units else 0, np.int64), np.zeros(at[-1] if n_units else 0, np.int64)
+    for u, nodes in enumerate(walked):
+        use = slice(at[u] - tokens[u], at[u])
+        pid[use], char[use] = piece[base[u] + nodes], cs[u] + nodes - span[base[u] + nodes]
     for j, (u, i, c) in enumerate(steps):
         pid[at[u] - 1 - j], char[at[u] - 1 - j] = i, c
     count = np.where(pid < 0, chars[char + 1] - chars[char], 1)
@@ -189,10 +245,12 @@ def forward(m: PieceModel, data: np.ndarray, px: K.Prefix, chars: np.ndarray, cs
 
 def backward(m: PieceModel, text: bytes, alpha: np.ndarray, n: int) -> list[tuple[float, list[int]]]:
     """The n best paths of one unit by A* from its end; alpha: its forward scores by character."""
-    cut = [i for i, b in enumerate(text) if b & 0xC0 != 0x80] + [len(text)]
-    heap, out, tick = [(-float(alpha[len(cut) - 1]), 0, 0.0, len(cut) - 1, ())], [], 0
+    cut, score, reach = [i for i, b in enumerate(text) if b & 0xC0 != 0x80] + [len(text)], m.scores, alpha.tolist()
+    visits = [0] * len(cut)
+    # of equal scores the position nearest the start first, so a tied path is ended before others grow
+    heap, out, tick = [(-reach[-1], len(cut) - 1, 0, 0.0, ())], [], 0
     while heap and len(out) < n:
-        f, _, g, p, path = heapq.heappop(heap)
+        f, p, _, g, path = heapq.heappop(heap)
         if p == 0:
             ids: list[int] = []
             while path:
@@ -200,18 +258,21 @@ def backward(m: PieceModel, text: bytes, alpha: np.ndarray, n: int) -> list[tupl
                 path = path[1]
             out.append((-f, ids))
             continue
+        if visits[p] == n:
+            continue
+        visits[p] += 1
         for k in range(1, min(p, m.longest) + 1):
             part = text[cut[p - k] : cut[p]]
             i = m.lookup.get(part, -1)
             if i >= 0:
-                s, ids = m.scores[i], [i]
+                s, ids = float(score[i]), [i]
             elif k == 1:
                 s, ids = m.unk, [int(m.byte_ids[b]) for b in part]
             else:
                 continue
-            if alpha[p - k] > -np.inf:
+            if visits[p - k] < n or p == k:
                 tick += 1
-                heapq.heappush(heap, (-(g + s + float(alpha[p - k])), tick, g + s, p - k, (ids, path)))
+                heapq.heappush(heap, (-(g + s + reach[p - k]), p - k, tick, g + s, (ids, path)))
     return out
 
 

@@ -176,3 +176,37 @@ def test_quality_drops_junk_of_all_documents(spark):
     out = quality.quality_rules(d, l).join(d.select("doc_id", junk.alias("junk")), "doc_id").where("not base_failed")
     n = {(r["junk"], r["kept"]): r["count"] for r in out.groupBy("junk", "kept").count().collect()}
     assert n.get((True, True), 0) <= 0.01 * n[True, False] and n.get((False, False), 0) <= 0.005 * n[False, True]
+
+
+def test_tied_segmentations_equal_brute_force(model):
+    texts = ["-" * n for n in (1, 2, 7, 33, 64)] + ["=" * 40, " " * 50, "ab" * 30, "-=" * 25, "----  ----" * 3]
+    data, off = K.buffers(pa.array(texts, pa.string()))
+    x = pieces.encode_chunk(model, data, off, 4)
+    for i, t in enumerate(texts):
+        want = best_paths(model, t, 40)
+        assert np.allclose([f for f, _ in x.nbest[i]], [f for f, _ in want[:4]]), t
+        paths = [tuple(x.segmentation(i, k).tolist()) for k in range(len(x.nbest[i]))]
+        assert len(set(paths)) == len(paths)
+
+
+def test_long_units_are_walked_like_short_ones(model, monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdé-日") for _ in range(n)) for n in (1, 3, 20, 90)] + ["x" * 70, "-" * 50, "a b " * 20]
+    data, off = K.buffers(pa.array(texts, pa.string()))
+    short = pieces.encode_chunk(model, data, off, 4)
+    monkeypatch.setattr(pieces, "LONG", 2)
+    alone = pieces.encode_chunk(model, data, off, 4)
+    assert short.ids.tolist() == alone.ids.tolist() and short.score.tolist() == alone.score.tolist() and short.nbest == alone.nbest
+
+
+def test_long_runs_and_texts_without_spaces_end_in_time(model):
+    import time
+
+    rng = random.Random(13)
+    texts = ["-" * 1007, "-" * 20_000, "=" * 20_000, " " * 20_000, "".join(rng.choice("abcdefghé日") for _ in range(200_000))]
+    data, off = K.buffers(pa.array(texts, pa.string()))
+    began = time.monotonic()
+    x = pieces.encode_chunk(model, data, off, 4)
+    assert time.monotonic() - began < 30
+    again, at = pieces.decode(model, x.ids, x.first)
+    assert again.tobytes() == data.tobytes() and at.tolist() == off.tolist() and all(len(b) == 4 for b in x.nbest)
