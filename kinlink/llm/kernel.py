@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)  # odd, so invertible modulo 2**64
@@ -139,3 +140,31 @@ def runs(h: np.ndarray, first: np.ndarray, n: int, whole: bool) -> tuple[np.ndar
         v = m[np.minimum(p, last)] if len(last) else m[:0]
         out = out * BASE + np.where(ok, v, U(j + 7))
     return mix(out), start
+
+
+def _planes(x: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8").view("u1").reshape(-1, 8)[:, :width].T).tobytes() if len(x) else b""
+
+
+def _unplanes(b: np.ndarray, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), "u1")
+    out[:, :width] = b.reshape(width, n).T
+    return out.reshape(-1).view("<u8")
+
+
+def pack(columns: list[tuple[np.ndarray, int, bool]]) -> bytes:
+    """(values, bytes each, differences?) columns of one length, byte planes, compressed."""
+    n = len(columns[0][0])
+    body = b"".join(_planes(np.diff(x.astype("<u8"), prepend=U(0)) if d else x, w) for x, w, d in columns)
+    return zstandard.ZstdCompressor(level=1).compress(n.to_bytes(8, "little") + body)
+
+
+def unpack(blob: bytes, columns: list[tuple[int, bool]]) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = int.from_bytes(raw[:8], "little"), 8, []
+    for w, d in columns:
+        x = _unplanes(np.frombuffer(raw, "u1", n * w, at), n, w)
+        mask = U((1 << 8 * w) - 1)
+        out.append(np.cumsum(x) & mask if d else x)
+        at += n * w
+    return out

@@ -1,35 +1,40 @@
 """MinHash near-duplicate detection from bottom-k sketches of one hash function.
 
-A text's set holds its distinct word shingles; its sketch is the ``K`` smallest
-hashes.  Two sets link if 100 * |x & y| >= percent * |x | y|.
+A text's set holds its distinct word shingles; its sketch is its ``retained`` smallest
+hashes, a number that grows with the set.  Two sets link if 100 * |x & y| >= percent *
+|x | y|.  No step loses a link: each bound below follows from sizes alone.
 
-1. Inverted lists of the retained values: a text with too few values that any other
-   text retains cannot link and leaves.  The bound is the expected number less
-   ``SIGMAS`` standard deviations; for sets of up to K shingles it is the least number
-   that a linked partner can retain, so none of their links is lost.
+1. Inverted lists of the retained values.  All but (100 - percent) % of a set stand in
+   any linked one, so of its 15 % + that many smallest values a known number is retained
+   by the partner too; a text that shares fewer with any other text leaves.
 2. The remaining texts' whole sets go into inverted lists; set elements are ordered by
    list length, rarest first.  Equal texts count once (their smallest id).
 3. Star candidates: each list links to its most shared member.  Union sketches
-   estimate the similarity and filter, the whole sets verify.
+   estimate the similarity and filter: of the union's smallest values no more may be
+   held by one side only than a link of these two sizes allows.  Whole sets verify.
 4. Candidates between different components: prefix filter with positions.  An entry
    at rank i of a set of size n only meets partners of sizes for which the elements
    from rank i on still suffice, so lists are joined on (value, size class), and only
    with at least one side outside a list's main component.  These also are estimated
    and verified.  Every linked pair is either inside a component or found here.
 
-A hot list has one entry a batch in the shuffles of 1 and 2, is never gathered or
-paired with itself, and in 4 its main component is only met by the few outside it.
+A hot list has one entry a block of texts in the shuffles of 1 and 2, is never gathered
+or paired with itself, and in 4 its main component is only met by the few outside it.
+Lists travel as 48 (in 1) or 64 (in 2) bits; equal bits of different shingles in 1 can
+only make a text stay that could have left.
 
 Defined cases: no words or null text: empty set, linked with nothing, its own
-component; repeated rows and rows that share an id are one node; a row with a null id
-has a null component and is kept; an empty table gives an empty result.
+component; a very long text is one set, handled whole; repeated rows and rows that share
+an id are one node, and ``keep_first`` keeps any one of those; ties of similarity need no
+order, a component's smallest id is kept; a row with a null id has a null component and is
+kept; columns other than doc_id and text, whatever their names, are ignored
+(``keep_first`` returns them as they are); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from math import sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +45,12 @@ from . import kernel as K
 from .components import components
 from .shared import bound_batches, materialise
 
-SKETCH, WORDS, PERCENT, SIGMAS = 64, 5, 80, 6.0
+WORDS, PERCENT = 5, 80
+#: Share of a set that its sketch holds beyond what a linked text may lack; any value is exact.
+SPARE = 15
+#: Values of a block of texts that is sent at once, about.
+BLOCK_VALUES = 2 << 20
+KEY_BYTES = 6
 BATCH = "batch string, ids binary, valid binary, sizes binary, h1 binary, h2 binary, kept binary, vals binary"
 _BATCH_NAMES = [x.split(" ")[0] for x in BATCH.split(", ")]
 
@@ -63,72 +73,109 @@ def _segment_sum(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])[first])
 
 
-def batches_of_sets(docs: DataFrame, words: int, keep: int | None) -> DataFrame:
-    """BATCH rows: ids, set sizes, set digests and the ``keep`` smallest (None: all) values."""
+def common_least(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of its smallest common values a set of n is sure to retain with a linked set of n or more."""
+    return np.minimum(-(-percent * n // 100), -(-SPARE * n // 100))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def retained(n: np.ndarray, percent: int) -> np.ndarray:
+    """Size of the sketch of a set of n values.
+
+    A linked set holds ceil(percent * n / 100) of the values or more, so the c-th
+    smallest common value has at most n - that + c values up to it.
+    """
+    return n - -(-percent * n // 100) + common_least(n, percent)
+
+
+def batches_of_sets(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
+    """BATCH rows, one a block of texts: ids, set sizes, set digests, and sketches or (percent None) whole sets.
+
+    Sketches are sorted keys of KEY_BYTES bytes, whole sets sorted hashes.
+    """
+
+    def blocks(it: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        block, held = [], 0
         for batch in it:
             for a, b, data, off in K.chunked(batch.column("text")):
                 h, first = shingle_sets(data, off, words)
                 size = np.diff(first)
-                held = size if keep is None else np.minimum(size, keep)
-                rank = np.arange(len(h)) - np.repeat(first[:-1], size)
-                vals = h if keep is None else h[rank < keep]
+                keep = size if percent is None else retained(size, percent)
+                vals = h[np.arange(len(h)) - np.repeat(first[:-1], size) < np.repeat(keep, size)]
+                if percent is not None:
+                    vals, owner = K.mix(vals) >> K.U(64 - 8 * KEY_BYTES), np.repeat(np.arange(b - a), keep)
+                    vals = vals[np.lexsort((vals, owner))]
                 ids = batch.column("doc_id").slice(a, b - a)
-                blobs = [ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"), ids.is_valid().to_numpy(zero_copy_only=False).astype("u1"), size.astype("<i8"),
-                         _segment_sum(K.mix(h + K.U(1)), first).astype("<u8"), _segment_sum(K.mix(h ^ K.BASE), first).astype("<u8"), held.astype("<i8"), vals.astype("<u8")]
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *[pa.array([x.tobytes()], pa.binary()) for x in blobs]], _BATCH_NAMES)
+                block.append((ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"), ids.is_valid().to_numpy(zero_copy_only=False).astype("u1"), size.astype("<i8"),
+                              _segment_sum(K.mix(h + K.U(1)), first).astype("<u8"), _segment_sum(K.mix(h ^ K.BASE), first).astype("<u8"), keep.astype("<i8"), vals.astype("<u8")))
+                held += len(vals)
+                if held >= BLOCK_VALUES:
+                    yield block
+                    block, held = [], 0
+        if block:
+            yield block
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(it):
+            *blobs, vals = (np.concatenate(x) for x in zip(*block, strict=True))
+            packed = vals.tobytes() if percent is None else K.pack([(vals, KEY_BYTES, True)])
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *[pa.array([x.tobytes()], pa.binary()) for x in blobs], pa.array([packed], pa.binary())], _BATCH_NAMES)
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return materialise(d.mapInArrow(run, BATCH), "sets")
 
 
-def _unpack(row: dict) -> dict[str, np.ndarray]:
-    kinds = {"ids": "<i8", "valid": "u1", "sizes": "<i8", "h1": "<u8", "h2": "<u8", "kept": "<i8", "vals": "<u8"}
-    return {k: np.frombuffer(row[k] or b"", t) for k, t in kinds.items()}
+def _unpack(row: dict, sketch: bool) -> dict[str, np.ndarray]:
+    kinds = {"ids": "<i8", "valid": "u1", "sizes": "<i8", "h1": "<u8", "h2": "<u8", "kept": "<i8"}
+    vals = _values(row["vals"], sketch) if "vals" in row else None
+    return {k: np.frombuffer(row[k] or b"", t) for k, t in kinds.items()} | {"vals": vals}
 
 
-def list_lengths(batches: DataFrame) -> DataFrame:
-    """(batch, v, n): a batch's values that two or more texts hold, with their numbers of texts.
+def _values(blob: bytes, sketch: bool) -> np.ndarray:
+    return K.unpack(blob, [(KEY_BYTES, True)])[0] if sketch else np.frombuffer(blob or b"", "<u8")
 
-    A value is sent once a batch, whatever the number of its texts there.
+
+def list_lengths(batches: DataFrame, sketch: bool) -> DataFrame:
+    """(batch, bucket, v, n): a block's values that two or more texts hold, with their numbers of texts.
+
+    A value is sent once a block, whatever the number of its texts there, packed by bucket.
     """
     spark = batches.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = [(8, True), (4, False)]
 
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for row in rb.to_pylist():
-                v, n = np.unique(np.frombuffer(row["vals"] or b"", "<u8"), return_counts=True)
-                cut = np.searchsorted(K.mix(v) % K.U(buckets), np.arange(buckets + 1), sorter=(order := np.argsort(K.mix(v) % K.U(buckets), kind="stable")))
-                v, n = v[order], n[order].astype("<u4")
+                v, n = np.unique(_values(row["vals"], sketch), return_counts=True)
+                to, v = v % K.U(buckets), v // K.U(buckets)
+                order = np.argsort(to, kind="stable")
+                cut = np.searchsorted(to[order], np.arange(buckets + 1))
+                v, n = v[order], n[order].astype(K.U)
                 some = [j for j in range(buckets) if cut[j + 1] > cut[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([row["batch"]] * len(some), pa.string()), pa.array([v[cut[j] : cut[j + 1]].tobytes() for j in some], pa.binary()),
-                                                  pa.array([n[cut[j] : cut[j + 1]].tobytes() for j in some], pa.binary())], ["bucket", "batch", "v", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([row["batch"]] * len(some), pa.string()),
+                                                  pa.array([K.pack([(v[cut[j] : cut[j + 1]], 8, True), (n[cut[j] : cut[j + 1]], 4, False)]) for j in some], pa.binary())], ["bucket", "batch", "list"])
 
     def count(table: pa.Table) -> pa.Table:
-        vs = [np.frombuffer(x, "<u8") for x in table.column("v").to_pylist()]
-        ns = [np.frombuffer(x, "<u4") for x in table.column("n").to_pylist()]
-        _, inv = np.unique(np.concatenate(vs), return_inverse=True)
-        total = np.bincount(inv, weights=np.concatenate(ns))[inv].astype("<u4")
-        out_v, out_n, at = [], [], 0
-        for v in vs:
+        parts = [K.unpack(x, kind) for x in table.column("list").to_pylist()]
+        _, inv = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+        total = np.bincount(inv, weights=np.concatenate([n for _, n in parts]))[inv].astype(K.U)
+        out, at = [], 0
+        for v, _ in parts:
             t = total[at : at + len(v)]
             at += len(v)
-            out_v.append(v[t > 1].tobytes())
-            out_n.append(t[t > 1].tobytes())
-        return pa.table({"batch": table.column("batch"), "v": pa.array(out_v, pa.binary()), "n": pa.array(out_n, pa.binary())})
+            out.append(K.pack([(v[t > 1], 8, True), (np.minimum(t[t > 1], K.U((1 << 32) - 1)), 4, False)]) if (t > 1).any() else None)
+        return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "list": pa.array(out, pa.binary())})
 
-    sent = batches.select("batch", "vals").mapInArrow(send, "bucket int, batch string, v binary, n binary")
-    return sent.groupBy("bucket").applyInArrow(count, "batch string, v binary, n binary").where(F.length("v") > 0)
+    sent = batches.select("batch", "vals").mapInArrow(send, "bucket int, batch string, list binary")
+    return sent.groupBy("bucket").applyInArrow(count, "batch string, bucket int, list binary").where("list is not null")
 
 
-def _joined(pairs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All of a batch's returned values, sorted, and their list lengths."""
-    if not pairs.num_rows:
-        return np.zeros(0, "<u8"), np.zeros(0, "<u4")
-    v = np.concatenate([np.frombuffer(x, "<u8") for x in pairs.column("v").to_pylist()])
-    n = np.concatenate([np.frombuffer(x, "<u4") for x in pairs.column("n").to_pylist()])
+def _joined(pairs: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """All of a block's returned values, sorted, and their list lengths."""
+    got = [(*K.unpack(x, [(8, True), (4, False)]), j) for x, j in zip(pairs.column("list").to_pylist(), pairs.column("bucket").to_pylist(), strict=True)]
+    if not got:
+        return np.zeros(0, "<u8"), np.zeros(0, "<u8")
+    v, n = np.concatenate([v * K.U(buckets) + K.U(j) for v, _, j in got]), np.concatenate([n for _, n, _ in got])
     o = np.argsort(v)
     return v[o], n[o]
 
@@ -141,36 +188,25 @@ def _look_up(x: np.ndarray, v: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(v[at] == x, n[at], 1).astype(np.int64)
 
 
-def least_retained(n: np.ndarray, percent: int) -> np.ndarray:
-    """For sets of n <= SKETCH values: how many of them any linked partner retains at least.
-
-    A partner of m values shares ceil(percent * (n + m) / (100 + percent)) or more and
-    retains all but m - SKETCH, so the largest partner retains the fewest.
-    """
-    m = 100 * n // percent
-    both = -(-percent * (n + m) // (100 + percent))
-    return np.minimum(-(-percent * n // 100), both - np.maximum(m - SKETCH, 0))
-
-
 def possible(batches: DataFrame, percent: int) -> DataFrame:
     """(doc_id, n, h1, h2) of texts whose sketch shares enough values with others."""
-    t = percent / 100
+    buckets = int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        v, n = _joined(right)
+        v, n = _joined(right, buckets)
         cols: list[list] = [[], [], [], []]
         for row in left.to_pylist():
-            x = _unpack(row)
+            x = _unpack(row, sketch=True)
             first = np.concatenate([[0], np.cumsum(x["kept"])])
             shared = _segment_sum((_look_up(x["vals"], v, n) > 1).astype(np.int64), first)
-            k = x["kept"]
-            need = np.where(x["sizes"] <= SKETCH, least_retained(k, percent), k * t - SIGMAS * np.sqrt(k * t * (1 - t)))
-            ok = (k > 0) & (shared >= need) & (x["valid"] > 0)
+            # the smallest linked partner retains the fewest
+            need = common_least(-(-percent * x["sizes"] // 100), percent)
+            ok = (x["sizes"] > 0) & (shared >= need) & (x["valid"] > 0)
             for c, y in zip(cols, (x["ids"], x["sizes"], x["h1"].view("<i8"), x["h2"].view("<i8")), strict=True):
                 c.append(y[ok])
         return pa.table({c: pa.array(np.concatenate(y) if y else np.zeros(0, np.int64), pa.int64()) for c, y in zip(("doc_id", "n", "h1", "h2"), cols, strict=True)})
 
-    found = list_lengths(batches)
+    found = list_lengths(batches, sketch=True)
     return batches.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(run, "doc_id long, n long, h1 long, h2 long")
 
 
@@ -179,12 +215,13 @@ ENTRY = "value long, node long, n long, rank long, shared long"
 
 def prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
     """ENTRY rows: each set's rarest elements that others hold, as far as a link needs them."""
+    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        v, n = _joined(right)
+        v, n = _joined(right, buckets)
         out: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
         for row in left.to_pylist():
-            x = _unpack(row)
+            x = _unpack(row, sketch=False)
             size = x["kept"]
             first = np.concatenate([[0], np.cumsum(size)])
             length = _look_up(x["vals"], v, n)
@@ -200,52 +237,65 @@ def prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
         all_rows = np.concatenate(out)
         return pa.table({c: pa.array(np.ascontiguousarray(all_rows[:, j]), pa.int64()) for j, c in enumerate(("value", "node", "n", "rank", "shared"))})
 
-    found = list_lengths(sets)
+    found = list_lengths(sets, sketch=False)
     return sets.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(run, ENTRY)
 
 
-def one_set_a_row(sets: DataFrame) -> DataFrame:
-    """(node, vals, sketch): each text's sorted set as bytes, and its K smallest values."""
+def one_set_a_row(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, vals, sketch): each text's sorted set as bytes, its size, and its retained values."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for row in rb.to_pylist():
-                x = _unpack(row)
+                x = _unpack(row, sketch=False)
                 first = np.concatenate([[0], np.cumsum(x["kept"])])
                 parts = [x["vals"][first[i] : first[i + 1]] for i in range(len(x["ids"]))]
-                yield pa.RecordBatch.from_arrays([pa.array(x["ids"]), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([p[:SKETCH].tobytes() for p in parts], pa.binary())], ["node", "vals", "sketch"])
+                keep = retained(x["kept"], percent)
+                yield pa.RecordBatch.from_arrays([pa.array(x["ids"]), pa.array(x["kept"]), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([p[:k].tobytes() for p, k in zip(parts, keep, strict=True)], pa.binary())], ["node", "n", "vals", "sketch"])
 
-    return sets.mapInArrow(run, "node long, vals binary, sketch binary")
+    return sets.mapInArrow(run, "node long, n long, vals binary, sketch binary")
 
 
-def union_sketch_estimate(x: np.ndarray, y: np.ndarray, k: int = SKETCH) -> float:
+def union_sketch_estimate(x: np.ndarray, y: np.ndarray, k: int) -> float:
     """Share of the union's k smallest values that both hold; exact for unions of up to k."""
     u = np.union1d(x, y)[:k]
     return len(np.intersect1d(np.intersect1d(x, y, True), u, True)) / max(1, len(u))
 
 
+def may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """Whether sets of n and m values with the sketches x and y can link, by their union sketch.
+
+    Up to the smaller of the sketches' last values the union is known; a link has at
+    most n + m - 2 * (values that it must share) values held by one side only.
+    """
+    last = min([int(s[-1]) for s, size in ((x, n), (y, m)) if 0 < len(s) < size], default=None)
+    if last is not None:
+        x, y = (s[: np.searchsorted(s, K.U(last), "right")] for s in (x, y))
+    k = len(np.union1d(x, y))
+    one_sided = k - round(union_sketch_estimate(x, y, k) * k)
+    return one_sided <= n + m - 2 * -(-percent * (n + m) // (100 + percent))
+
+
 def _keep_pairs(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col(column).alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col(column).alias("y"))
+    left = sets.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("n").alias("xn"))
+    right = sets.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("n").alias("yn"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
-            x, y = rb.column("x"), rb.column("y")
-            ok = [test(np.frombuffer(x[i].as_py(), "<u8"), np.frombuffer(y[i].as_py(), "<u8")) for i in range(rb.num_rows)]
+            x, y, xn, yn = (rb.column(c).to_pylist() for c in ("x", "y", "xn", "yn"))
+            ok = [test(np.frombuffer(x[i], "<u8"), np.frombuffer(y[i], "<u8"), xn[i], yn[i]) for i in range(rb.num_rows)]
             yield pa.RecordBatch.from_arrays([rb.column("a"), rb.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "xn", "yn").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: union-sketch estimate first, whole sets then."""
-    t = percent / 100
-    floor = t - SIGMAS * sqrt(t * (1 - t) / SKETCH)
-    likely = _keep_pairs(pairs, sets, "sketch", lambda x, y: union_sketch_estimate(x, y) >= floor)
+    """The pairs (a, b) that link: union sketches first, whole sets then."""
+    likely = _keep_pairs(pairs, sets, "sketch", lambda x, y, n, m: may_link(x, y, n, m, percent))
 
-    def exact(x: np.ndarray, y: np.ndarray) -> bool:
+    def exact(x: np.ndarray, y: np.ndarray, n: int, m: int) -> bool:
         both = len(np.intersect1d(x, y, True))
-        return 100 * both >= percent * (len(x) + len(y) - both)
+        return 100 * both >= percent * (n + m - both)
 
     return _keep_pairs(materialise(likely, "likely"), sets, "vals", exact)
 
@@ -290,26 +340,27 @@ def outside_pairs(entries: DataFrame, roots: DataFrame, percent: int) -> DataFra
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept."""
     bound_batches(docs.sparkSession)
-    batches = batches_of_sets(docs, words, SKETCH)
+    batches = batches_of_sets(docs, words, percent)
     alive = materialise(possible(batches, percent), "possible")
     classes = materialise(alive.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node")), "classes")
     chosen = docs.select("doc_id", "text").join(classes.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     sets = batches_of_sets(chosen, words, None)
-    each = materialise(one_set_a_row(sets), "set-rows")
+    each = materialise(one_set_a_row(sets, percent), "set-rows")
     entries = materialise(prefix_entries(sets, percent), "entries")
     stars = materialise(verified(materialise(star_pairs(entries, percent), "stars"), each, percent), "star-links")
     roots = components(stars)
-    more = verified(materialise(outside_pairs(entries, roots, percent), "outside"), each, percent)
-    roots = components(stars.union(more))
+    more = materialise(verified(materialise(outside_pairs(entries, roots, percent), "outside"), each, percent), "outside-links")
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     labelled = classes.join(roots, "node", "left").select("n", "h1", "h2", F.coalesce("root", "node").alias("root"))
 
     def narrow(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for row in rb.to_pylist():
-                x = _unpack(row)
+                x = _unpack(row, sketch=True)
                 yield pa.RecordBatch.from_arrays([pa.array(x["ids"], mask=x["valid"] == 0), pa.array(x["sizes"]), pa.array(x["h1"].view("<i8")), pa.array(x["h2"].view("<i8"))], ["doc_id", "n", "h1", "h2"])
 
-    d = batches.mapInArrow(narrow, "doc_id long, n long, h1 long, h2 long").join(labelled, ["n", "h1", "h2"], "left")
+    d = batches.drop("vals").mapInArrow(narrow, "doc_id long, n long, h1 long, h2 long").join(labelled, ["n", "h1", "h2"], "left")
     # rows that share an id are one node
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return d.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .kernel import pack, unpack
 from .shared import bound_batches, materialise
 from .spans import _identified
 
@@ -71,34 +72,6 @@ def anchors(data: np.ndarray, off: np.ndarray, px: K.Prefix) -> tuple[np.ndarray
     return p, h[p], row[p]
 
 
-def _planes(x: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view("u1").reshape(-1, 8)[:, :width].T).tobytes() if len(x) else b""
-
-
-def _unplanes(b: np.ndarray, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), "u1")
-    out[:, :width] = b.reshape(width, n).T
-    return out.reshape(-1).view("<u8")
-
-
-def pack(columns: list[tuple[np.ndarray, int, bool]]) -> bytes:
-    """(values, bytes each, differences?) columns of one length, byte planes, compressed."""
-    n = len(columns[0][0])
-    body = b"".join(_planes(np.diff(x.astype("<u8"), prepend=K.U(0)) if d else x, w) for x, w, d in columns)
-    return zstandard.ZstdCompressor(level=1).compress(n.to_bytes(8, "little") + body)
-
-
-def unpack(blob: bytes, columns: list[tuple[int, bool]]) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n, at, out = int.from_bytes(raw[:8], "little"), 8, []
-    for w, d in columns:
-        x = _unplanes(np.frombuffer(raw, "u1", n * w, at), n, w)
-        mask = K.U((1 << 8 * w) - 1)
-        out.append(np.cumsum(x) & mask if d else x)
-        at += n * w
-    return out
-
-
 ENTRY = [(5, False), (5, False), (4, True), (4, True)]  # piece, context, text number, position
 SENT = "bucket int, batch string, kind int, ids binary, a binary, b binary"
 _SENT = [x.split(" ")[0] for x in SENT.split(", ")]

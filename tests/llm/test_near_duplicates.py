@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from kinlink.llm import components, minhash
 
 SCHEMA = "doc_id long, text string"
@@ -77,14 +79,54 @@ def test_small_sets_link_with_partners_larger_than_a_sketch(spark):
         assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {d: d - d % 2 for d, _ in docs}
 
 
-def test_the_bound_of_small_sets_is_the_least_of_all_partners():
-    import numpy as np
+def linked_pair(rng, percent):
+    """Two random sets of hashes that link, as close to the threshold as their sizes allow."""
+    n = rng.choice([rng.randint(1, 12), rng.randint(50, 90), rng.randint(100, 1500)])
+    m = rng.randint(-(-percent * n // 100), 100 * n // percent)
+    both = -(-percent * (n + m) // (100 + percent))
+    pool = np.array(rng.sample(range(1 << 62), n + m - both), "u8")
+    return np.sort(pool[:n]), np.sort(np.concatenate([pool[:both], pool[n:]])), both
+
 
+def test_no_bound_loses_a_linked_pair():
+    rng = random.Random(5)
     for percent in (50, 80, 85, 90, 100):
-        for n in range(1, minhash.SKETCH + 1):
-            partners = range(-(-percent * n // 100), 100 * n // percent + 1)
-            least = min(-(-percent * (n + m) // (100 + percent)) - max(0, m - minhash.SKETCH) for m in partners)
-            assert minhash.least_retained(np.array([n]), percent)[0] == least
+        for _ in range(400):
+            x, y, both = linked_pair(rng, percent)
+            assert 100 * both >= percent * (len(x) + len(y) - both)
+            a, b = (z[: minhash.retained(np.array(len(z)), percent)] for z in (x, y))
+            for z in (x, y):
+                assert len(np.intersect1d(a, b)) >= minhash.common_least(-(-percent * np.array(len(z)) // 100), percent) >= 1
+            assert minhash.may_link(a, b, len(x), len(y), percent)
+    x = np.sort(np.array(rng.sample(range(1 << 62), 400), "u8"))
+    assert not minhash.may_link(x[:200][::2], x[:200][1::2], 200, 200, 80)
+
+
+def test_sets_around_the_old_sketch_size_lose_no_link(spark):
+    for percent in (80, 85):
+        docs = []
+        for n in range(50, 65):
+            for m in {51, 100 * n // percent, min(80, 100 * n // percent)}:
+                if not percent * m <= 100 * n or m < n:
+                    continue
+                for copy in range(4):
+                    words = [f"v{n}x{m}x{copy}x{i}" for i in range(m + 4)]
+                    docs += [(len(docs), " ".join(words[: n + 4])), (len(docs) + 1, " ".join(words))]
+        out = minhash.near_duplicates(spark.createDataFrame(docs, SCHEMA).repartition(3), percent)
+        assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {d: d - d % 2 for d, _ in docs}
+
+
+def test_blocks_and_buckets_do_not_change_components(spark, monkeypatch):
+    docs = corpus(7)
+    d = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    want = brute(docs, 80)
+    monkeypatch.setattr(minhash, "BLOCK_VALUES", 300)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("3", "19"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = rows(minhash.near_duplicates(d, 80))
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert got == want
 
 
 def test_repeated_rows_shared_ids_and_extra_columns(spark):
@@ -101,10 +143,8 @@ def test_empty_table(spark):
 
 
 def test_union_sketch_is_exact_for_small_sets():
-    import numpy as np
-
     x, y = np.arange(10, dtype="u8"), np.arange(5, 20, dtype="u8")
-    assert minhash.union_sketch_estimate(x, y) == 5 / 20
+    assert minhash.union_sketch_estimate(x, y, 64) == 5 / 20
 
 
 def test_long_chains_and_stars_have_one_root(spark):
