@@ -1,19 +1,23 @@
 """Substring dedup by sliding sentence spans.
 
 A sentence ends with a word that ends in ``.``, ``!`` or ``?``, with a line feed after
-a word, or with the text.  Every run of three consecutive sentences of ``MIN_WORDS[3]``
-words or more, and every run of two of ``MIN_WORDS[2]`` or more, is hashed over its
-words with A-Z lower-cased.  Runs are joined over all texts; the occurrence first by
-(doc_id, position) stays, and each sentence that any other occurrence covers goes.
-
-A batch sends each run's hash once, with its smallest id, so a passage that a third of
-all texts share costs one entry a batch; texts are only shuffled to meet their lists
-of removed sentences.
-
-Defined cases: a null text is empty; a text without words stays as it is; rows that
-share an id never remove each other's sentences (a run repeated inside one row still
-loses its later occurrences); a row with a null id ranks after all ids; white space
-before the first word stays, white space after a sentence goes with it.
+a word, or with the text.  Every run of ``RUN`` consecutive sentences is hashed over its
+words with A-Z lower-cased; longer repeated runs are covered by these.  Runs of two
+sentences count too if they have ``PAIR_WORDS`` words, since a long passage may hold no
+more whole sentences.  Runs are joined over all texts; the occurrence first by (doc_id,
+position) stays, and each sentence that any other occurrence covers goes.
+
+Runs are told apart by 96 bits of hash.  A block of texts sends each run once, with its
+smallest id, so a passage that a third of all texts share costs one entry a block; texts
+are only shuffled to meet their lists of removed sentences.
+
+Defined cases: a null text is empty; a text without words stays as it is; a very long
+text is handled whole; rows that share an id never remove each other's sentences (a run
+repeated inside one row still loses its later occurrences), repeated rows get equal
+results; of equal runs in one text the first stays; a row with a null id ranks after all
+ids; white space before the first word stays, white space after a sentence goes with it;
+other columns are carried whatever their names (n_sentences and n_removed are replaced);
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,12 +33,17 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .shared import bound_batches, materialise, set_aside
 
-#: Words at least in a run of so many sentences.
-MIN_WORDS = {3: 8, 2: 20}
+RUN = 3
+#: Words at least in a run of only two sentences.
+PAIR_WORDS = 10
+#: (sentences, words at least) of the runs that are hashed.
+RUNS = ((RUN, 1), (2, PAIR_WORDS))
+#: Sentences of a block of texts that is sent at once, about.
+BLOCK_SENTENCES = 1 << 20
 LAST = (1 << 63) - 1
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
-BATCH = "batch string, ids binary, marks binary, sizes binary, vals binary"
+BATCH = "batch string, ids binary, marks binary, sizes binary, vals binary, checks binary"
 
 
 def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
@@ -51,26 +60,29 @@ def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, np.searchsorted(begin[:-1], first), s, (s, e, first)
 
 
-def run_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(2, sentences) hashes of the runs of 3 and of 2 sentences from each on, 0 for none; each text's first sentence."""
+def run_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(RUNS, sentences) hashes of the runs from each sentence on, 0 for none, their checks, and each text's first sentence."""
     low = K.LOWER[data]
     begin, at, _, (s, e, _) = sentences(low, off)
     n = len(begin) - 1
-    out = np.zeros((2, n), K.U)
+    out, check = np.zeros((len(RUNS), max(n, 0)), K.U), np.zeros((len(RUNS), max(n, 0)), K.U)
     if n <= 0:
-        return out[:, :0], at
-    w = K.mix(K.Prefix(low).span(s, e))
-    h = np.concatenate([np.zeros(1, K.U), np.cumsum(w * K._pow("b", K.BASE, len(w) + 1)[: len(w)])])
+        return out, check, at
+    px = K.Prefix(low)
+    w = px.span(s, e)
     inv = K._pow("i", K.BASE_INV, len(w) + 1)
+    sums = [np.concatenate([np.zeros(1, K.U), np.cumsum(K.mix(w ^ salt) * K._pow("b", K.BASE, len(w) + 1)[: len(w)])]) for salt in (K.U(0), K.CODES[7])]
     last = np.repeat(at[1:], np.diff(at))
     i = np.arange(n)
-    for j, (k, least) in enumerate(MIN_WORDS.items()):
+    for j, (k, least) in enumerate(RUNS):
         use = np.flatnonzero(i + k <= last)
         a, b = begin[use], begin[use + k]
         big = b - a >= least
         use, a, b = use[big], a[big], b[big]
-        out[j, use] = K.mix((h[b] - h[a]) * inv[a] + K.mix((b - a).astype(K.U)) + K.U(k)) | K.U(1)
-    return out, at
+        size = K.mix((b - a).astype(K.U)) + K.U(k)
+        out[j, use] = K.mix((sums[0][b] - sums[0][a]) * inv[a] + size) | K.U(1)
+        check[j, use] = K.mix((sums[1][b] - sums[1][a]) * inv[a] + size) >> K.U(32)
+    return out, check, at
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -79,97 +91,128 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def _batches(docs: DataFrame) -> DataFrame:
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(it: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        block, held = [], 0
         for rb in it:
             for a, b, data, off in K.chunked(rb.column("_text")):
-                runs, at = run_hashes(data, off)
-                blobs = [rb.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8") for c in ("_id", "_mark")] + [np.diff(at).astype("<i8"), runs.astype("<u8")]
-                yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *[pa.array([x.tobytes()], pa.binary()) for x in blobs]], [x.split(" ")[0] for x in BATCH.split(", ")])
+                runs, checks, at = run_hashes(data, off)
+                block.append((*(rb.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8") for c in ("_id", "_mark")), np.diff(at).astype("<i8"), runs, checks))
+                held += runs.shape[1]
+                if held >= BLOCK_SENTENCES:
+                    yield block
+                    block, held = [], 0
+        if block:
+            yield block
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(it):
+            *whole, runs, checks = zip(*block, strict=True)
+            blobs = [np.concatenate(x).tobytes() for x in whole] + [np.concatenate(runs, 1).tobytes(), K.pack([(np.concatenate(checks, 1).ravel(), 4, False)])]
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *[pa.array([x], pa.binary()) for x in blobs]], [x.split(" ")[0] for x in BATCH.split(", ")])
 
     return materialise(_identified(docs).select("_id", "_mark", "_text").mapInArrow(run, BATCH), "sentence-runs")
 
 
-def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _read(row: dict) -> tuple[np.ndarray, ...]:
     ids, marks, sizes = (np.frombuffer(row[c] or b"", "<i8") for c in ("ids", "marks", "sizes"))
-    return ids, marks, sizes, np.frombuffer(row["vals"] or b"", "<u8").reshape(2, -1)
+    return ids, marks, sizes, np.frombuffer(row["vals"] or b"", "<u8").reshape(len(RUNS), -1), K.unpack(row["checks"], [(4, False)])[0].reshape(len(RUNS), -1)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
+_ASKED = [(8, True), (4, False), (8, False), (1, False)]  # run, check, smallest id, occurrences up to 2
+_FOUND = _ASKED[:3]
 
 
 def repeated_runs(batches: DataFrame) -> DataFrame:
-    """(batch, v, first): a batch's runs that occur twice or more anywhere, with their smallest id."""
+    """(batch, list): a block's runs that occur twice or more anywhere, with their smallest id."""
     buckets = int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             for row in rb.to_pylist():
-                ids, _, sizes, runs = _read(row)
-                v = runs.ravel()
-                owner = np.tile(np.repeat(ids, sizes), 2)[v > 0]
-                v = v[v > 0]
-                order = np.lexsort((owner, v))
-                v, owner = v[order], owner[order]
-                new = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
-                n = np.minimum(np.diff(np.append(new, len(v))), 2).astype("u1")
-                v, owner = v[new], owner[new]
+                ids, _, sizes, runs, checks = _read(row)
+                v, c = runs.ravel(), checks.ravel()
+                owner = np.tile(np.repeat(ids, sizes), len(RUNS))[v > 0]
+                v, c = v[v > 0], c[v > 0]
+                order = np.lexsort((owner, c, v))
+                v, c, owner = v[order], c[order], owner[order]
+                new = np.flatnonzero(_changes(v, c))
+                n = np.minimum(np.diff(np.append(new, len(v))), 2)
+                v, c, owner = v[new], c[new], owner[new]
                 to = K.mix(v) % K.U(buckets)
                 order = np.argsort(to, kind="stable")
                 cut = np.searchsorted(to[order], np.arange(buckets + 1))
-                v, owner, n = v[order], owner[order].astype("<i8"), n[order]
+                columns = [x[order] for x in (v, c, owner.view("<u8"), n)]
                 some = [j for j in range(buckets) if cut[j + 1] > cut[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([row["batch"]] * len(some), pa.string()),
-                                                  *[pa.array([x[cut[j] : cut[j + 1]].tobytes() for j in some], pa.binary()) for x in (v, owner, n)]], ["bucket", "batch", "v", "first", "n"])
+                lists = [K.pack([(x[cut[j] : cut[j + 1]], *how) for x, how in zip(columns, _ASKED, strict=True)]) for j in some]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([row["batch"]] * len(some), pa.string()), pa.array(lists, pa.binary())], ["bucket", "batch", "list"])
 
     def meet(table: pa.Table) -> pa.Table:
-        vs, firsts, ns = ([np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("v", "<u8"), ("first", "<i8"), ("n", "u1")))
-        v, first = np.concatenate(vs), np.concatenate(firsts)
-        order = np.lexsort((first, v))
-        new = np.concatenate([[True], v[order][1:] != v[order][:-1]])
+        parts = [K.unpack(x, _ASKED) for x in table.column("list").to_pylist()]
+        v, c, first, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        first = first.view("<i8")
+        order = np.lexsort((first, c, v))
+        new = _changes(v[order], c[order])
         group = np.cumsum(new) - 1
-        low = np.empty(len(v), np.int64)
+        low, many = np.empty(len(v), np.int64), np.empty(len(v), bool)
         low[order] = first[order][new][group]
-        many = np.empty(len(v), bool)
-        many[order] = (np.bincount(group, weights=np.concatenate(ns)[order]) > 1)[group]
-        out_v, out_f, at = [], [], 0
-        for x in vs:
-            m = many[at : at + len(x)]
-            out_v.append(x[m].tobytes())
-            out_f.append(low[at : at + len(x)][m].tobytes())
+        many[order] = (np.bincount(group, weights=n[order]) > 1)[group]
+        out, at = [], 0
+        for x, *_ in parts:
+            use = np.flatnonzero(many[at : at + len(x)]) + at
             at += len(x)
-        return pa.table({"batch": table.column("batch"), "v": pa.array(out_v, pa.binary()), "first": pa.array(out_f, pa.binary())})
+            out.append(K.pack([(y[use], *how) for y, how in zip((v, c, low.view("<u8")), _FOUND, strict=True)]) if len(use) else None)
+        return pa.table({"batch": table.column("batch"), "list": pa.array(out, pa.binary())})
+
+    sent = batches.mapInArrow(send, "bucket int, batch string, list binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "batch string, list binary").where("list is not null")
+
 
-    sent = batches.select("batch", "ids", "marks", "sizes", "vals").mapInArrow(send, "bucket int, batch string, v binary, first binary, n binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "batch string, v binary, first binary").where(F.length("v") > 0)
+def _first_of(x: np.ndarray, check: np.ndarray, v: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Places of the runs x in the sorted (v, c), -1 where there is none."""
+    at = np.searchsorted(v, x)
+    out = np.full(len(x), -1, np.int64)
+    todo = np.flatnonzero(x > 0)
+    while len(todo):  # more than one round only where hashes collide
+        todo = todo[at[todo] < len(v)]
+        todo = todo[v[at[todo]] == x[todo]]
+        hit = c[at[todo]] == check[todo]
+        out[todo[hit]] = at[todo[hit]]
+        todo = todo[~hit]
+        at[todo] += 1
+    return out
 
 
 def removals(batches: DataFrame) -> DataFrame:
     """(_id, _mark, gone): a text's sentences that go, as bits; only texts that lose any."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if right.num_rows:
-            v = np.concatenate([np.frombuffer(x, "<u8") for x in right.column("v").to_pylist()])
-            first = np.concatenate([np.frombuffer(x, "<i8") for x in right.column("first").to_pylist()])
-        else:
-            v, first = np.zeros(0, "<u8"), np.zeros(0, "<i8")
-        order = np.argsort(v)
-        v, first = v[order], first[order]
+        got = [K.unpack(x, _FOUND) for x in right.column("list").to_pylist()]
+        v, c, first = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.zeros(0, K.U) for _ in range(3))
+        order = np.lexsort((c, v))
+        v, c, first = v[order], c[order], first[order].view("<i8")
         out: tuple[list, list, list] = ([], [], [])
         for row in left.to_pylist():
-            ids, marks, sizes, runs = _read(row)
+            ids, marks, sizes, runs, checks = _read(row)
             at = np.concatenate([[0], np.cumsum(sizes)])
             owner = np.repeat(np.arange(len(ids)), sizes)
             cover = np.zeros(len(owner) + 1, np.int64)
-            if not len(v):
-                continue
-            for j, k in enumerate(MIN_WORDS):
-                x = runs[j]
-                pos = np.minimum(np.searchsorted(v, x), len(v) - 1)
-                hit = np.flatnonzero((x > 0) & (v[pos] == x))
+            for j, (k, _) in enumerate(RUNS):
+                pos = _first_of(runs[j], checks[j], v, c)
+                hit = np.flatnonzero(pos >= 0)
                 if not len(hit):
                     continue
                 other = first[pos[hit]] < ids[owner[hit]]
                 # inside the first text, all but the earliest occurrence
-                key = np.lexsort((hit, x[hit], owner[hit]))
+                key = np.lexsort((hit, pos[hit], owner[hit]))
                 again = np.zeros(len(hit), bool)
-                again[key[1:]] = (x[hit][key[1:]] == x[hit][key[:-1]]) & (owner[hit][key[1:]] == owner[hit][key[:-1]])
+                again[key] = ~_changes(pos[hit][key], owner[hit][key])
                 bad = hit[other | again]
                 np.add.at(cover, bad, 1)
                 np.add.at(cover, bad + k, -1)
@@ -234,8 +277,8 @@ u as (select doc_id, i, ps[i] x, regexp_extract(ps[i], '^[^\x20\x09-\x0D]+') w,
 e as (select *, case when regexp_matches(w, '[.!?]$') or contains(substr(x, length(w) + 1), chr(10)) or fin then 1 else 0 end stop from u),
 g as (select *, coalesce(sum(stop) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) s from e),
 t as (select doc_id, s, string_agg(x, '' order by i) x, string_agg(translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' order by i) z, count(*) n from g group by doc_id, s),
-l as (select *, lead(z) over o z2, lead(z, 2) over o z3, lead(n) over o n2, lead(n, 2) over o n3 from t window o as (partition by doc_id order by s)),
-r as (select doc_id, s, 3 k, z || ' ' || z2 || ' ' || z3 as h from l where n + n2 + n3 >= 8 union all select doc_id, s, 2, z || ' ' || z2 from l where n + n2 >= 20),
+l as (select *, lead(z) over o z2, lead(z, 2) over o z3, lead(n) over o n2 from t window o as (partition by doc_id order by s)),
+r as (select doc_id, s, 3 k, z || ' ' || z2 || ' ' || z3 as h from l where z3 is not null union all select doc_id, s, 2, z || ' ' || z2 from l where n + n2 >= 10),
 f as (select *, row_number() over (partition by k, h order by doc_id, s) o from r),
 gone as (select distinct doc_id, s + j as s from (select doc_id, s, unnest(range(0, k)) j from f where o > 1)),
 k as (select t.doc_id, count(*) n, count(gone.s) m, string_agg(case when gone.s is null then x else '' end, '' order by t.s) x from t left join gone on gone.doc_id = t.doc_id and gone.s = t.s group by t.doc_id)

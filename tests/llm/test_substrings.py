@@ -92,3 +92,62 @@ def test_a_row_keeps_its_own_first_run_and_rows_of_one_id_do_not_meet(spark):
     d = spark.createDataFrame([(1, LONG + " " + LONG), (1, LONG + " " + LONG)], SCHEMA)
     assert [r["text"] for r in spans.dedup_spans(d).collect()] == [LONG + " "] * 2
     assert spans.dedup_spans(d.limit(0)).count() == 0
+
+
+def brute_spans(docs):
+    """(doc_id, remaining text) by comparing runs of sentences as lists of words."""
+    import re
+
+    parts = []
+    for d, t in docs:
+        t = t or ""
+        lead = re.match(r"[\x20\x09-\x0D]*", t).group()
+        words = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", t)
+        found, now = [], []
+        for i, w in enumerate(words):
+            now.append(w)
+            bare = w.rstrip(" \t\n\x0b\x0c\r")
+            if bare[-1] in ".!?" or "\n" in w[len(bare) :] or i == len(words) - 1:
+                found.append(now)
+                now = []
+        parts.append((d, lead, found))
+    low = lambda w: "".join(c.lower() if "A" <= c <= "Z" else c for c in w.rstrip(" \t\n\x0b\x0c\r"))
+    rank = lambda d: (1 << 63) - 1 if d is None else d
+    first, where = {}, []
+    for d, _, found in parts:
+        seen = {}
+        for k, least in spans.RUNS:
+            for i in range(len(found) - k + 1):
+                words = [low(w) for s in found[i : i + k] for w in s]
+                if len(words) >= least:
+                    seen.setdefault((k, tuple(words)), []).append(i)
+        where.append(seen)
+        for r in seen:
+            first[r] = min(first.get(r, rank(d)), rank(d))
+    out = []
+    for (d, lead, found), seen in zip(parts, where, strict=True):
+        gone = {j for r, at in seen.items() for i in (at if first[r] < rank(d) else at[1:]) for j in range(i, i + r[0])}
+        out.append((d, len(found), len(gone), lead + "".join("".join(s) for j, s in enumerate(found) if j not in gone)))
+    return sorted(out, key=str)
+
+
+def sentence_corpus(seed):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choice(["one", "Two", "thrée", "x"]) for _ in range(rng.randint(1, 7))) + rng.choice([".", "!", "?", "", "\n"]) for _ in range(12)]
+    docs = [(d, rng.choice(["", " ", "\n"]) + rng.choice([" ", "  ", "\n"]).join(rng.choice(pool) for _ in range(rng.randint(0, 9)))) for d in range(150)]
+    return docs + [(300, None), (301, ""), (302, " \n"), (303, "Hi. Ho. Ha. " * 3000), (7, "Hi. Ho. Ha."), (7, "Hi. Ho. Ha."), (None, "Hi. Ho. Ha. Hu.")]
+
+
+def test_spans_equal_brute_force(spark, monkeypatch):
+    docs = sentence_corpus(9)
+    d = spark.createDataFrame(docs, SCHEMA).repartition(4)
+    get = lambda: sorted((tuple(r) for r in spans.dedup_spans(d).select("doc_id", "n_sentences", "n_removed", "text").collect()), key=str)
+    assert get() == brute_spans(docs)
+    monkeypatch.setattr(spans, "BLOCK_SENTENCES", 20)  # many small blocks
+    assert get() == brute_spans(docs)
+
+
+def test_colliding_run_hashes_are_told_apart_by_their_checks():
+    v, c = np.array([3, 3, 9], "u8"), np.array([1, 5, 2], "u8")
+    x, check = np.array([3, 3, 3, 9, 9, 0, 10], "u8"), np.array([5, 1, 7, 2, 3, 0, 1], "u8")
+    assert spans._first_of(x, check, v, c).tolist() == [1, 0, -1, 2, -1, -1, -1]
