@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-#: The model's columns, in the contract's order.
+#: The model's columns, in the contract's order.
 FEATURES = [
     "name_jaccard", "name_core_jaccard", "name_levenshtein", "name_token_sort", "name_token_set", "name_sequence", "name_cosine", "name_tfidf_cosine",
     "address_jaccard", "address_levenshtein", "address_token_sort", "address_token_set", "address_sequence", "address_cosine", "address_tfidf_cosine",

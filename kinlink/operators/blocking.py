@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinlink.functions.text import add_normalized_columns, blocking_tokens
 from kinlink.sources.scratch import scratch_path
+from kinlink.sources.store import with_numbers
 
 TOP_K_CLI, TOP_K_API = 60, 250
 
@@ -39,19 +40,36 @@ def top_candidates(pairs: DataFrame, k: int | None) -> DataFrame:
 
 
 def numbered(records: DataFrame) -> DataFrame:
-    """(num, entity_id, country, tokens), written once; nums are longs in the order of the ids.
+    """Normalised records with num and tokens, written once unless they have them already."""
+    if {"num", "tokens"} <= set(records.columns):
+        return records
+    path = scratch_path(records.sparkSession, "numbered")
+    with_numbers(records).write.parquet(path)
+    return records.sparkSession.read.parquet(path)
 
-    Range partitions sorted within give that order without a task that sees all rows; the
-    written table keeps the numbers fixed for every reader and retry.
+
+def shared_tokens(s: DataFrame, t: DataFrame) -> DataFrame:
+    """(a, b, overlap) of numbered records within a country.
+
+    Pairs are dealt by the record that looks for candidates, once: counts and ranks need
+    no other exchange.
     """
-    spark = records.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = scratch_path(spark, "numbered")
-    ordered = records.repartitionByRange(n, "entity_id").sortWithinPartitions("entity_id").withColumn("num", F.monotonically_increasing_id())
-    # normalised after the range exchange, whose sampling reads its input once more
-    r = _normalized(ordered).select("num", "entity_id", "country", blocking_tokens(F.col("name_tokens"), F.col("address_tokens")).alias("tokens"))
-    r.write.parquet(path)
-    return spark.read.parquet(path)
+    left = s.select(F.col("num").alias("a"), "country", F.explode("tokens").alias("token"))
+    right = t.select(F.col("num").alias("b"), "country", F.explode("tokens").alias("token"))
+    pairs = left.join(right, ["country", "token"]).select("a", "b").repartition("a")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"))
+
+
+def named(pairs: DataFrame, s: DataFrame, t: DataFrame) -> DataFrame:
+    """Pairs (a, b, ...) with the ids s1 and cand instead of numbers."""
+    ids = lambda d, n, name: d.select(F.col("num").alias(n), F.col("entity_id").alias(name))
+    return pairs.join(ids(s, "a", "s1"), "a").join(ids(t, "b", "cand"), "b").select("s1", "cand", *[c for c in pairs.columns if c not in ("a", "b")])
+
+
+def all_overlaps(source1: DataFrame, targets: DataFrame) -> DataFrame:
+    """(s1, cand, overlap) of every pair that shares a token: as many rows as there are such pairs."""
+    s, t = numbered(source1), numbered(targets)
+    return named(shared_tokens(s, t), s, t)
 
 
 def candidates(source1: DataFrame, targets: DataFrame, k: int | None = TOP_K_API) -> DataFrame:
@@ -60,12 +78,8 @@ def candidates(source1: DataFrame, targets: DataFrame, k: int | None = TOP_K_API
     Pairs are counted and ranked as two longs, and get their ids back after the cut.
     """
     s, t = numbered(source1), numbered(targets)
-    left = s.select(F.col("num").alias("s1"), "country", F.explode("tokens").alias("token"))
-    right = t.select(F.col("num").alias("cand"), "country", F.explode("tokens").alias("token"))
-    pairs = left.join(right, ["country", "token"]).groupBy("s1", "cand").agg(F.count(F.lit(1)).alias("overlap"))
-    top = top_candidates(pairs, k).withColumnsRenamed({"s1": "a", "cand": "b"})
-    named = top.join(s.select(F.col("num").alias("a"), F.col("entity_id").alias("s1")), "a").join(t.select(F.col("num").alias("b"), F.col("entity_id").alias("cand")), "b")
-    return named.select("s1", "cand", "overlap", "rank")
+    top = top_candidates(shared_tokens(s, t).withColumnsRenamed({"a": "s1", "b": "cand"}), k)
+    return named(top.withColumnsRenamed({"s1": "a", "cand": "b"}), s, t)
 
 
 def candidate_map(source1: DataFrame, ranked: DataFrame) -> DataFrame:

@@ -34,3 +34,9 @@ def document_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, other = e.where("m = 0").select("id", "h", "n"), e.where("m <> 0").select(F.col("id").alias("match"), "h", "n")
     lists = one.join(other, ["h", "n"], "left").groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("match")), ",").alias("matched_entity_ids"))
     return lists.select(F.col("id").alias("source1_entity_id"), "matched_entity_ids")
+
+
+def equal_records(source1: DataFrame, targets: DataFrame) -> DataFrame:
+    """(s1, cand) of records with equal name, address and country."""
+    same = ["business_name", "business_address", "country"]
+    return source1.selectExpr(*same, "entity_id as s1").join(targets.selectExpr(*same, "entity_id as cand"), same).select("s1", "cand")

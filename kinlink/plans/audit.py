@@ -38,8 +38,11 @@ class Report:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no from 1, line); numbers come from each partition's size, not from one task."""
-    raw = spark.read.option("lineSep", "\n").text(path).select(F.monotonically_increasing_id().alias("_m"), F.col("value").alias("line"))
+    """(line_no from 1, line); a line ends with a line feed, a carriage return or both.
+
+    Numbers come from each partition's size, not from one task.
+    """
+    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("_m"), F.col("value").alias("line"))
     raw = raw.select(F.shiftright("_m", 33).alias("_p"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_r"), "line")
     sizes = raw.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
     before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))

@@ -18,6 +18,7 @@ def _session() -> SparkSession:
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="kinlink")
     sub = p.add_subparsers(dest="command", required=True)
+    # The contract's option names and defaults.
     r = sub.add_parser("run", help="index, match and write both result files")
     r.add_argument("--data-dir", default="dataset")
     r.add_argument("--output-dir", default="output")

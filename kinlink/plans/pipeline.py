@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.functions.text import add_normalized_columns, parse_ids
-from kinlink.operators.blocking import TOP_K_CLI, overlaps, top_candidates
+from kinlink.operators.blocking import TOP_K_CLI, candidates
 from kinlink.operators.decide import RULE_THRESHOLD, match_lists_by_score, rule_matches_of_pairs
 from kinlink.operators.features import feature_frame
 from kinlink.operators.holdout import sample_n, split_by_source1
@@ -44,7 +44,7 @@ def truth_pairs(truth: DataFrame) -> DataFrame:
 
 
 def make_candidates(source1: DataFrame, index: RecordIndex, k: int) -> DataFrame:
-    return top_candidates(overlaps(source1, index.postings), k)
+    return candidates(source1, index.records, k)
 
 
 def write_table(frame: DataFrame, path: str) -> DataFrame:

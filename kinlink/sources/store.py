@@ -16,7 +16,8 @@ from kinlink.functions.text import add_normalized_columns, blocking_tokens
 
 from .tsv import delete, exists, read_tsv
 
-RECORD_COLUMNS = ["entity_id", "business_name", "business_address", "country", "name_norm", "name_core", "address_norm", "name_tokens", "address_tokens"]
+#: num: a long in the order of the ids; tokens: those that blocking uses.
+RECORD_COLUMNS = ["num", "tokens", "entity_id", "business_name", "business_address", "country", "name_norm", "name_core", "address_norm", "name_tokens", "address_tokens"]
 
 
 def last_writes(rows: DataFrame, order: list[str], key: str = "entity_id") -> DataFrame:
@@ -25,6 +26,20 @@ def last_writes(rows: DataFrame, order: list[str], key: str = "entity_id") -> Da
     return rows.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
 
 
+def with_numbers(records: DataFrame) -> DataFrame:
+    """Normalised records + num and tokens; to be written before it is used, which fixes the numbers.
+
+    Range partitions sorted within give numbers in the order of the ids without a task that
+    sees all rows; records are normalised after that exchange, whose sampling reads its input
+    once more.
+    """
+    spark = records.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    r = records.repartitionByRange(n, "entity_id").sortWithinPartitions("entity_id").withColumn("num", F.monotonically_increasing_id())
+    r = r if {"name_tokens", "address_tokens"} <= set(r.columns) else add_normalized_columns(r)
+    return r.withColumn("tokens", blocking_tokens(F.col("name_tokens"), F.col("address_tokens")))
+
+
 def postings(records: DataFrame) -> DataFrame:
     """(token, entity_id, country), each token once a record."""
     return records.select("entity_id", "country", F.explode(blocking_tokens(F.col("name_tokens"), F.col("address_tokens"))).alias("token")).select("token", "entity_id", "country")
@@ -73,7 +88,7 @@ def build_index(spark: SparkSession, paths: list[str], folder: str, chunksize: i
             part = read_tsv(spark, p).select("entity_id", "business_name", "business_address", "country").withColumn("_file", F.lit(i)).withColumn("_row", F.monotonically_increasing_id())
             rows = part if rows is None else rows.union(part)
         kept = last_writes(rows, ["_file", "_row"]).drop("_file", "_row")
-        add_normalized_columns(kept).select(*RECORD_COLUMNS).write.parquet(f"{at}/records")
-        postings(spark.read.parquet(f"{at}/records")).repartition("country", "token").write.parquet(f"{at}/postings")
+        with_numbers(kept).select(*RECORD_COLUMNS).write.parquet(f"{at}/records")
+        postings(spark.read.parquet(f"{at}/records")).write.parquet(f"{at}/postings")
         spark.range(1).coalesce(1).write.parquet(f"{at}/_BUILT")
     return RecordIndex(spark, at)

@@ -12,9 +12,20 @@ SOURCE_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 
 
-def read_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns by header name; quotes as in common CSV, ``NA`` stays text."""
-    raw = spark.read.options(header=True, sep="\t", quote='"', escape='"', multiLine=True, inferSchema=False).csv(path)
+#: A line whose cells are whole: bare ones, or quoted ones that are closed before the line ends.
+_WHOLE_CELL = r'(?:(?!")[^\t]*|"(?:[^"]|"")*"[^\t"]*)'
+_WHOLE_LINE = rf"^{_WHOLE_CELL}(?:\t{_WHOLE_CELL})*$"
+
+
+def read_tsv(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:
+    """All columns by header name; quotes as in common CSV, ``NA`` stays text.
+
+    multi_line: whether quoted cells hold line feeds, so that a file cannot be split and is
+    one task; None looks once through all lines.
+    """
+    if multi_line is None:
+        multi_line = not spark.read.text(path).where(~F.col("value").rlike(_WHOLE_LINE)).isEmpty()
+    raw = spark.read.options(header=True, sep="\t", quote='"', escape='"', multiLine=multi_line, inferSchema=False).csv(path)
     return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
 
 

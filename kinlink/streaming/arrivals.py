@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kinlink.functions.text import add_normalized_columns
-from kinlink.operators.blocking import TOP_K_CLI, overlaps, top_candidates
+from kinlink.operators.blocking import TOP_K_CLI, candidates, numbered
 from kinlink.operators.decide import RULE_THRESHOLD, rule_matches_of_pairs
 from kinlink.sources.store import RecordIndex
 
@@ -16,8 +15,8 @@ def match_arrivals(arrivals: DataFrame, index: RecordIndex, out: str, checkpoint
     """Write (s1, cand, score, batch_id) of each micro-batch to ``out``; a repeated batch overwrites its own folder."""
 
     def match(batch: DataFrame, batch_id: int) -> None:
-        records = add_normalized_columns(batch)
-        pairs = top_candidates(overlaps(records, index.postings), k)
+        records = numbered(batch)
+        pairs = candidates(records, index.records, k)
         found = rule_matches_of_pairs(pairs, records, index.records, threshold)
         found.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 

@@ -105,3 +105,17 @@ def test_the_registered_matcher_has_all_rounds(monkeypatch):
 def test_ordered_lists(spark):
     d = spark.createDataFrame([("a", "z", 0.9), ("a", "b", 0.8), ("a", "a", 0.8)], "s1 string, cand string, score double")
     assert decide.match_lists_by_score(d).first()["matches"] == ["z", "a", "b"]
+
+
+def test_trees_find_held_out_matches(spark):
+    """Fitted on some records, the matcher finds the equal records of the others and little else."""
+    from kinlink.plans import queries
+
+    sf = queries._Place("/root/testdata/sf0.01")
+    s1, targets = queries._sides(spark, sf)
+    truth = queries.adapters.equal_records(s1, targets)
+    labelled = learn.pair_labels(feature_frame(queries._top(spark, sf), s1, targets), truth).cache()
+    fifth = "cast(conv(substring(md5(concat('42:', source1_entity_id)), 1, 4), 16, 10) as int) % 5"
+    found = learn.PairMatcher(decide.RULE_THRESHOLD, rounds=25).fit(labelled.where(f"{fifth} <> 0")).matches(labelled.where(f"{fifth} = 0"))
+    got, want = ({(r["s1"], r["cand"]) for r in d.select("s1", "cand").collect()} for d in (found, labelled.where(f"{fifth} = 0 and label = 1").select(F.col("source1_entity_id").alias("s1"), F.col("candidate_entity_id").alias("cand"))))
+    assert want and got == want
