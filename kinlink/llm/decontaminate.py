@@ -15,12 +15,18 @@ five-word shingles that the passage has.  An answer shorter than a shingle count
 the words before it, up to five, each of which may also follow the item's last shingle in
 the passage word by word: one edit at the item's end does not hide it.
 
-Items are gathered in shards of a bounded size; one shard's index is broadcast at a
-time, with document frequencies counted over all items.
-
-Defined cases: a null text is empty; a text without words matches nothing; items of
-fewer than five words cannot be verified and are left out; repeated texts report each
-row's id (once per id and item); a null id is reported as null; no items: no rows.
+An item of fewer than five words is one sequence, which must stand in the passage whole.
+
+Items are gathered in shards of ``SHARD_BYTES`` of text, with document frequencies counted
+over all items; a scan of the corpus broadcasts as many shards as fit ``SCAN_BYTES`` of
+measured index.  An index has one bound for each term and block that the term occurs in.
+
+Defined cases: a null text is empty; a text without words matches nothing, an item without
+words is no item; a very long text is cut into passages like any other; of a text's
+passages the best (score, then overlaps) is reported; repeated texts report each row's id
+(once per id and item), and equal items all count; a null id is reported as null; columns
+other than doc_id, item_id and text, whatever their names, are not read (``drop_leaks``
+returns those of docs as they are); no items or no texts: no rows.
 """
 
 from __future__ import annotations
@@ -35,13 +41,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import bound_batches
+from .shared import bound_batches, materialise
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
 MIN_STRIDE, BLOCKS = 64, 64
-#: Item text indexed and broadcast at a time.
-SHARD_BYTES = 16 << 20
+#: Item text of an index, about, and bytes of indexes broadcast to a scan, about.
+SHARD_BYTES, SCAN_BYTES = 8 << 20, 128 << 20
 GAP = np.ones(256, bool)
 GAP[48:58] = GAP[65:91] = GAP[97:123] = False
 GAP[128:] = False
@@ -77,7 +83,10 @@ class Index:
     items: np.ndarray  # postings: item numbers, ascending in each list
     impacts: np.ndarray
     block: int  # items a block
-    bounds: np.ndarray  # (terms, blocks): largest impact
+    blocks: int
+    bound_start: np.ndarray  # each term's first bound
+    bound_block: np.ndarray
+    bound: np.ndarray  # largest impact of the term in that block
     words: list[np.ndarray]
     answers: list[int]
 
@@ -87,11 +96,23 @@ class Index:
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         return np.where(self.terms[at] == h, at, -1)
 
+    def bytes(self) -> int:
+        return sum(x.nbytes for x in (self.terms, self.start, self.items, self.impacts, self.bound_start, self.bound_block, self.bound, *self.words))
+
+    def bounds_of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which of the terms, block, bound) of all bounds of the terms."""
+        n = self.bound_start[terms + 1] - self.bound_start[terms]
+        to = np.cumsum(n)
+        at = np.arange(to[-1] if len(to) else 0) - np.repeat(to - n - self.bound_start[terms], n)
+        return np.repeat(np.arange(len(terms)), n), self.bound_block[at], self.bound[at]
+
     def search(self, terms: np.ndarray, threshold: float, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
         """Block-max WAND: all items whose score for the distinct ``terms`` reaches threshold."""
         out = []
-        bounds = self.bounds[terms]
-        for k in range(self.bounds.shape[1]) if blocks is None else blocks:
+        which, block, bound = self.bounds_of(terms)
+        bounds = np.zeros((len(terms), self.blocks), np.float32)
+        bounds[which, block] = bound
+        for k in range(self.blocks) if blocks is None else blocks:
             use = np.flatnonzero(bounds[:, k] > 0)
             lists = [(self.items[a:b], self.impacts[a:b]) for a, b in zip(self.start[terms[use]], self.start[terms[use] + 1], strict=True)]
             tops = bounds[use, k]
@@ -142,9 +163,12 @@ def build_index(rows: list[tuple[int | None, str]], n_items: int, mean_words: fl
     terms, start = np.unique(t, return_index=True)
     start = np.append(start, len(t))
     block = max(1, -(-len(rows) // BLOCKS))
-    bounds = np.zeros((len(terms), max(1, -(-len(rows) // block))), np.float32)
-    np.maximum.at(bounds, (np.repeat(np.arange(len(terms)), np.diff(start)), i // block), np.nextafter(x.astype(np.float32), np.float32(2)))
-    return Index([r[0] for r in rows], terms, start, i, x, block, bounds, words, [_answer_start(r[1], len(w)) for r, w in zip(rows, words, strict=True)])
+    blocks = max(1, -(-len(rows) // block))
+    key, at = np.unique(np.repeat(np.arange(len(terms)), np.diff(start)) * blocks + i // block, return_inverse=True)
+    bound = np.zeros(len(key), np.float32)
+    np.maximum.at(bound, at, np.nextafter(x.astype(np.float32), np.float32(2)))
+    return Index([r[0] for r in rows], terms, start, i, x, block, blocks, np.searchsorted(key, np.arange(len(terms) + 1) * blocks), (key % blocks).astype(np.int32), bound,
+                 words, [_answer_start(r[1], len(w)) for r, w in zip(rows, words, strict=True)])
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -159,10 +183,12 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 def overlaps(item: np.ndarray, answer: int, passage: np.ndarray) -> tuple[float, float]:
     """Shares of the question's and the answer's words in five-word shingles of the passage; short answers as above."""
-    n = SHINGLE
-    if len(item) < n or len(passage) < n:
+    n = min(SHINGLE, len(item))
+    if not n or len(passage) < n:
         return 0.0, 0.0
     sh = lambda w: K.runs(w, np.array([0, len(w)]), n, whole=False)[0]
+    if len(item) < SHINGLE:
+        return (1.0, 1.0) if sh(item)[0] in sh(passage) else (0.0, 0.0)
     own, other = sh(item), sh(passage)
     hit = np.isin(own, other)
     mark = np.zeros(len(item) + 1, np.int64)
@@ -194,11 +220,8 @@ def search_chunk(index: Index, data: np.ndarray, off: np.ndarray, stride: int, t
     back = np.flatnonzero((piece > 0) & (owner[np.maximum(piece - 1, 0)] == owner[piece]))
     width = len(index.terms) + 1
     key = np.unique(np.concatenate([piece * width + tid[known], (piece[back] - 1) * width + tid[known][back]]))
-    sums = np.zeros((p_first[-1], index.bounds.shape[1]), np.float32)
-    if len(key):
-        at = key // width
-        new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums[at[new]] = np.add.reduceat(index.bounds[key % width], new, axis=0)
+    which, block, bound = index.bounds_of(key % width)
+    sums = np.bincount((key // width)[which] * index.blocks + block, weights=bound, minlength=p_first[-1] * index.blocks).reshape(-1, index.blocks)
     alive = sums >= threshold - 1e-3
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
     for p in np.flatnonzero(alive.any(1)):
@@ -229,16 +252,15 @@ def shards_of(benchmark: DataFrame) -> Iterator[Shard]:
         for rb in it:
             for a, b, data, off in K.chunked(rb.column("text")):
                 h, first = _terms(data, off)
-                n = np.diff(first)
-                parts = [np.unique(h[first[i] : first[i + 1]]) if n[i] >= SHINGLE else h[:0] for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([rb.column("item_id").slice(a, b - a), rb.column("text").slice(a, b - a), pa.array(n), pa.array([p.view(np.int64).tolist() for p in parts], pa.list_(pa.int64()))], ["item_id", "text", "n", "terms"])
+                parts = [np.unique(h[first[i] : first[i + 1]]).view(np.int64).tolist() for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([rb.column("item_id").slice(a, b - a), rb.column("text").slice(a, b - a), pa.array(np.diff(first)), pa.array(parts, pa.list_(pa.int64()))], ["item_id", "text", "n", "terms"])
 
-    parsed = items.mapInArrow(tokenise, "item_id long, text string, n long, terms array<long>").where(F.col("n") >= SHINGLE)
+    parsed = materialise(items.mapInArrow(tokenise, "item_id long, text string, n long, terms array<long>").where("n > 0"), "items")
     size = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("w"), F.max("n").alias("m"), F.sum(F.length("text")).alias("b")).first()
     if not size["n"]:
         return
     stride, shards = max(MIN_STRIDE, size["m"]), -(-size["b"] // SHARD_BYTES)
-    df = parsed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = materialise(parsed.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item-terms")
     for k in range(shards):
         shard = parsed.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == k)
         rows = [(r["item_id"], r["text"]) for r in shard.select("item_id", "text").collect()]
@@ -246,23 +268,35 @@ def shards_of(benchmark: DataFrame) -> Iterator[Shard]:
         yield Shard(build_index(rows, size["n"], size["w"] / size["n"], known), stride)
 
 
+def scans_of(benchmark: DataFrame) -> Iterator[list[Shard]]:
+    """Shards that one scan of the corpus searches together."""
+    held: list[Shard] = []
+    for shard in shards_of(benchmark):
+        if held and sum(s.index.bytes() for s in held) + shard.index.bytes() > SCAN_BYTES:
+            yield held
+            held = []
+        held.append(shard)
+    if held:
+        yield held
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every verified pair."""
     spark = docs.sparkSession
     bound_batches(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = spark.createDataFrame([], FOUND)
-    for shard in shards_of(benchmark):
-        held = spark.sparkContext.broadcast(shard)
+    for shards in scans_of(benchmark):
+        held = spark.sparkContext.broadcast(shards)
 
         def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index, stride = held.value.index, held.value.stride
             for rb in it:
                 for a, b, data, off in K.chunked(rb.column("text")):
-                    got = search_chunk(index, data, off, stride, threshold, overlap)
                     ids = rb.column("doc_id").slice(a, b - a).to_pylist()
-                    cols = [[ids[g[0]] for g in got], [index.item_ids[g[1]] for g in got], *[[g[j] for g in got] for j in (2, 3, 4)]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), *[pa.float64()] * 3], strict=True)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                    for shard in held.value:
+                        got = search_chunk(shard.index, data, off, shard.stride, threshold, overlap)
+                        cols = [[ids[g[0]] for g in got], [shard.index.item_ids[g[1]] for g in got], *[[g[j] for g in got] for j in (2, 3, 4)]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), *[pa.float64()] * 3], strict=True)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         found = found.union(d.mapInArrow(run, FOUND))
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b")
@@ -270,17 +304,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """docs without the rows that hold a verified item; one pass a shard, no shuffle."""
+    """docs without the rows that hold a verified item; no shuffle."""
     spark = docs.sparkSession
     bound_batches(spark)
-    for shard in shards_of(benchmark):
-        held = spark.sparkContext.broadcast(shard)
+    column = docs.columns.index("text")
+    for shards in scans_of(benchmark):
+        held = spark.sparkContext.broadcast(shards)
 
         def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for rb in it:
                 stay = np.ones(rb.num_rows, bool)
-                for a, _, data, off in K.chunked(rb.column("text")):
-                    stay[[a + g[0] for g in search_chunk(held.value.index, data, off, held.value.stride, threshold, overlap)]] = False
+                for a, _, data, off in K.chunked(rb.column(column)):
+                    for shard in held.value:
+                        stay[[a + g[0] for g in search_chunk(shard.index, data, off, shard.stride, threshold, overlap)]] = False
                 yield rb.filter(pa.array(stay))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -123,3 +123,67 @@ def test_an_edit_at_the_end_does_not_hide_an_item_with_a_short_answer(spark):
         want |= {(100 * i + k, i) for k in range(len(edits))}
     b, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, SCHEMA)
     assert {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(d, b).collect()} == want
+
+
+def brute_leaks(items, docs):
+    """(doc_id, item_id) by scoring and comparing every passage with every item."""
+    import math
+    from collections import Counter
+
+    word = lambda t: ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in dc._WORD.findall(t or "")]
+    lists = [(i, t, word(t)) for i, t in items if word(t)]
+    df, mean = Counter(w for _, _, ws in lists for w in set(ws)), sum(len(ws) for *_, ws in lists) / len(lists)
+    stride = max(dc.MIN_STRIDE, max(len(ws) for *_, ws in lists))
+    impacts = []
+    for *_, ws in lists:
+        x = {w: math.log(1 + (len(lists) - df[w] + 0.5) / (df[w] + 0.5)) * n * (dc.K1 + 1) / (n + dc.K1 * (1 - dc.B + dc.B * len(ws) / mean)) for w, n in Counter(ws).items()}
+        impacts.append({w: v / sum(x.values()) for w, v in x.items()})
+    found = set()
+    for d, text in docs:
+        w = word(text)
+        for at in range(0, len(w), stride):
+            passage = w[at : at + 2 * stride]
+            have = set(passage)
+            sh = {tuple(passage[i : i + 5]) for i in range(len(passage) - 4)}
+            for (i, t, ws), impact in zip(lists, impacts, strict=True):
+                if sum(v for x, v in impact.items() if x in have) < dc.THRESHOLD:
+                    continue
+                if len(ws) < 5:
+                    if any(passage[k : k + len(ws)] == ws for k in range(len(passage))):
+                        found.add((d, i))
+                    continue
+                cover = {j for k in range(len(ws) - 4) if tuple(ws[k : k + 5]) in sh for j in range(k, k + 5)}
+                cut = dc._answer_start(t, len(ws))
+                q, a = (sum(j in cover for j in part) / len(part) for part in (range(cut), range(cut, len(ws))))
+                if q >= dc.OVERLAP and a >= dc.OVERLAP:
+                    found.add((d, i))
+    return found
+
+
+def test_pairs_equal_brute_force_from_text_to_overlap(spark):
+    rng = random.Random(14)
+    items, docs = leak_corpus(rng)
+    # answers of five words or more only, so that the short-answer rule, tested above, stays out
+    items = [(i, f"{sentence(rng, 20)}? {sentence(rng, 7)}.") for i in range(20)] + [(30, "two words"), (31, "Lone"), (32, "a four word item"), (33, None), (34, "?!"), (7, "same id other item of some six words here. and its answer of six words too.")]
+    for d in range(100):
+        i, t = items[d % 20]
+        w = t.split()
+        for _ in range(d % 4):
+            w[rng.randrange(len(w))] = rng.choice(["changed", "words", "a"])
+        docs.append((1000 + d, f"{sentence(rng, rng.randint(0, 200))} {' '.join(w[d % 3 :])} {sentence(rng, rng.randint(0, 90))}"))
+    docs += [(2000, "here are two words"), (2001, "words two"), (2002, "LONE"), (2003, "it is a four word item too"), (2004, "a four item word")]
+    got = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_leaks(items, docs)
+    assert got == want and {(2000, 30), (2002, 31), (2003, 32)} <= want and len(want) > 40
+
+
+def test_several_shards_share_a_scan(spark, monkeypatch):
+    rng = random.Random(15)
+    items, _ = leak_corpus(rng)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(dc, "SHARD_BYTES", 700)
+    many = list(dc.scans_of(b))
+    assert len(many) == 1 and len(many[0]) > 3
+    size = max(s.index.bytes() for s in many[0])
+    monkeypatch.setattr(dc, "SCAN_BYTES", 2 * size)
+    assert all(sum(s.index.bytes() for s in scan) <= 2 * size for scan in dc.scans_of(b))
