@@ -16,11 +16,16 @@ anchor, chosen by content alone, so equal strings have their anchors at equal of
    pair of intervals, one a side, and its smallest document follows from integers.
 3. Documents meet their settled contexts and intervals; remaining bytes are hashed.
 
-Contexts are compared in step 1 by two 40-bit digests.  Hot strings cost one entry a
-batch and bucket in step 1 and one for each different context in step 2.
-
-Defined cases: a null text is empty; texts shorter than SPAN lose nothing; rows that
-share an id do not remove each other's bytes; a null id ranks after all ids.
+Contexts are compared in step 1 by 104 bits (40 of the piece, 64 of the whole context)
+and not by bytes: among all contexts of 100 TB about 1e-6 pairs would be taken for equal.
+Hot strings cost one entry a block of texts in step 1 and one for each different context
+in step 2; those of one piece are sorted in one task.
+
+Defined cases: a null text is empty; texts shorter than SPAN lose nothing; a very long
+text is handled whole, matches may lie anywhere in it; rows that share an id do not
+remove each other's bytes, and repeated rows get equal results; of equal strings those of
+the smallest id stay; a null id ranks after all ids; columns other than doc_id and text,
+whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ from .spans import _identified
 
 SPAN, GRAM = 50, 24
 EXT = SPAN - GRAM
+#: Anchors of a block of texts that is sent at once, about.
+BLOCK_ANCHORS = 1 << 19
 
 
 def _window_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -72,40 +79,60 @@ def anchors(data: np.ndarray, off: np.ndarray, px: K.Prefix) -> tuple[np.ndarray
     return p, h[p], row[p]
 
 
-ENTRY = [(5, False), (5, False), (4, True), (4, True)]  # piece, context, text number, position
+ENTRY = [(5, False), (8, False), (8, True), (4, True), (4, True)]  # piece, context, id, text number, position
 SENT = "bucket int, batch string, kind int, ids binary, a binary, b binary"
 _SENT = [x.split(" ")[0] for x in SENT.split(", ")]
 
 
+def _anchored(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks of texts: ids, marks, text starts, and each anchor's text, position, piece and context."""
+    parts, held = [], 0
+    for rb in it:
+        for a, b, data, off in K.chunked(rb.column("_text")):
+            ids, marks = (rb.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8") for c in ("_id", "_mark"))
+            px = K.Prefix(data)
+            p, piece, row = anchors(data, off, px)
+            lo, hi = np.maximum(p - EXT, off[row]), np.minimum(p + SPAN, off[row + 1])
+            parts.append((ids, marks, np.diff(off), row, p, piece, K.mix(px.span(lo, hi) + (p - lo).astype(K.U) * K.BASE)))
+            held += len(p)
+            if held >= BLOCK_ANCHORS:
+                yield _block(parts)
+                parts, held = [], 0
+    if parts:
+        yield _block(parts)
+
+
+def _block(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    texts = np.cumsum([0, *(len(x[0]) for x in parts)])
+    bytes_ = np.cumsum([0, *(int(x[2].sum()) for x in parts)])
+    moved = [(i, m, n, row + t, p + at, piece, context) for (i, m, n, row, p, piece, context), t, at in zip(parts, texts, bytes_, strict=False)]
+    ids, marks, size, row, p, piece, context = (np.concatenate(x) for x in zip(*moved, strict=True))
+    return ids, marks, np.concatenate([[0], np.cumsum(size)]), row, p, piece, context
+
+
 def _send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """kind 0: a batch's ids, marks, text starts and anchors settled inside it; kind 1: its entries for a bucket."""
+    """kind 0: a block's ids, marks, text starts and anchors settled inside it; kind 1: its entries for a bucket."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in it:
-            for a, b, data, off in K.chunked(rb.column("_text")):
-                ids, marks = (rb.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8") for c in ("_id", "_mark"))
-                px, name = K.Prefix(data), uuid.uuid4().hex
-                p, piece, row = anchors(data, off, px)
-                lo, hi = np.maximum(p - EXT, off[row]), np.minimum(p + SPAN, off[row + 1])
-                context = K.mix(px.span(lo, hi) + (p - lo).astype(K.U) * K.BASE) >> K.U(24)
-                to, piece = (piece & K.U(0xFFFF)) % K.U(buckets), piece >> K.U(24)
-                order = np.lexsort((ids[row], context, piece))
-                new = np.ones(len(p), bool)
-                new[1:] = (piece[order][1:] != piece[order][:-1]) | (context[order][1:] != context[order][:-1])
-                low = np.empty(len(p), np.int64)
-                low[order] = ids[row[order]][new][np.cumsum(new) - 1]
-                out = ids[row] == low
-                here = np.flatnonzero(~out)
-                rows = [(buckets + int(name[:6], 16) % buckets, name, 0, ids.tobytes() + marks.tobytes() + off.astype("<i8").tobytes(), pack([(row[here], 4, True), (p[here], 4, True)]), b"")]
-                out = np.flatnonzero(out)
-                out = out[np.argsort(to[out], kind="stable")]
-                cut = np.searchsorted(to[out], np.arange(buckets + 1))
-                packed = pack([(ids, 8, True)])
-                for j in range(buckets):
-                    e = out[cut[j] : cut[j + 1]]
-                    if len(e):
-                        rows.append((j, name, 1, packed, pack([(piece[e], 5, False), (context[e], 5, False), (row[e], 4, True), (p[e], 4, True)]), b""))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 3], strict=True)], _SENT)
+        for ids, marks, off, row, p, piece, context in _anchored(it):
+            name = uuid.uuid4().hex
+            to, piece = (piece & K.U(0xFFFFFF)) % K.U(buckets), piece >> K.U(24)
+            order = np.lexsort((ids[row], context, piece))
+            new = np.ones(len(p), bool)
+            new[1:] = (piece[order][1:] != piece[order][:-1]) | (context[order][1:] != context[order][:-1])
+            low = np.empty(len(p), np.int64)
+            low[order] = ids[row[order]][new][np.cumsum(new) - 1]
+            out = ids[row] == low
+            here = np.flatnonzero(~out)
+            rows = [(buckets + int(name[:6], 16) % buckets, name, 0, ids.tobytes() + marks.tobytes() + off.astype("<i8").tobytes(), pack([(row[here], 4, True), (p[here], 4, True)]), b"")]
+            out = np.flatnonzero(out)
+            out = out[np.argsort(to[out], kind="stable")]
+            cut = np.searchsorted(to[out], np.arange(buckets + 1))
+            for j in range(buckets):
+                e = out[cut[j] : cut[j + 1]]
+                if len(e):
+                    rows.append((j, name, 1, b"", pack([(x, *how) for x, how in zip((piece[e], context[e], ids[row[e]].view("<u8"), row[e], p[e]), ENTRY, strict=True)]), b""))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.string(), pa.int32(), *[pa.binary()] * 3], strict=True)], _SENT)
 
     return docs.select("_id", "_mark", "_text").mapInArrow(run, SENT)
 
@@ -117,8 +144,8 @@ def _settle(table: pa.Table) -> pa.Table:
     rows = [r for r in t if r["kind"] == 1]
     if rows:
         parts = [unpack(r["a"], ENTRY) for r in rows]
-        own = [unpack(r["ids"], [(8, True)])[0].view("<i8")[p[2].astype(np.int64)] for r, p in zip(rows, parts, strict=True)]
-        piece, context, ids = (np.concatenate(x) for x in ([p[0] for p in parts], [p[1] for p in parts], own))
+        piece, context, ids = (np.concatenate([p[j] for p in parts]) for j in range(3))
+        ids = ids.view("<i8")
         order = np.lexsort((ids, context, piece))
         ps, cs, ds = piece[order], context[order], ids[order]
         np_ = np.concatenate([[True], ps[1:] != ps[:-1]])
@@ -135,7 +162,7 @@ def _settle(table: pa.Table) -> pa.Table:
             n = len(p[0])
             s, o = settled[at : at + n], open_[at : at + n]
             at += n
-            r |= {"ids": b"", "a": pack([(p[2][s], 4, True), (p[3][s], 4, True)]) if s.any() else b"", "b": pack([(p[2][o], 4, True), (p[3][o], 4, True)]) if o.any() else b""}
+            r |= {"a": pack([(p[3][s], 4, True), (p[4][s], 4, True)]) if s.any() else b"", "b": pack([(p[3][o], 4, True), (p[4][o], 4, True)]) if o.any() else b""}
         rows = [r for r in rows if r["a"] or r["b"]]
     kept = passed + rows
     return pa.table({c: pa.array([r[c] for r in kept], t) for c, t in zip(_SENT[1:], [pa.string(), pa.int32(), *[pa.binary()] * 3], strict=True)})

@@ -151,3 +151,16 @@ def test_colliding_run_hashes_are_told_apart_by_their_checks():
     v, c = np.array([3, 3, 9], "u8"), np.array([1, 5, 2], "u8")
     x, check = np.array([3, 3, 3, 9, 9, 0, 10], "u8"), np.array([5, 1, 7, 2, 3, 0, 1], "u8")
     assert spans._first_of(x, check, v, c).tolist() == [1, 0, -1, 2, -1, -1, -1]
+
+
+def test_blocks_buckets_and_clashing_columns_do_not_change_removals(spark, monkeypatch):
+    docs = corpus(5) + [(600, "long " * 30_000 + "end of a very long text")]
+    d = spark.createDataFrame([(*x, b"c", 1) for x in docs], SCHEMA + ", a binary, _id int").repartition(3)
+    want = brute(docs)
+    monkeypatch.setattr(suffixes, "BLOCK_ANCHORS", 50)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("2", "23"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = sorted((tuple(r) for r in suffixes.dedup_substrings(d).collect()), key=str)
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert got == want
