@@ -12,6 +12,7 @@ QUERIES = {
     "op5_suffixes": suffixes.op5_suffixes,
     "op6_spans": spans.op6_spans,
     "op7_quotes": quotes.op7_quotes,
+    "quoted_conversations": quotes.quoted_conversations,
     "op8_quality": quality.op8_quality,
     "op9_pieces": pieces.op9_pieces,
     "op10_licences": licences.op10_licences,

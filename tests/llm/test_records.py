@@ -85,10 +85,43 @@ def test_quotes_equal_their_sql(spark, tmp_path):
 
 
 def test_rendering_is_in_reply_order(spark):
-    chat = {(r["conv_id"], r["piece"], r["part"]): r["chat"] for r in quotes.render(linked(spark)).collect()}
-    said = chat[1, 0, 0]
+    chat = {(r["conv_id"], r["piece"]): r["chat"] for r in quotes.render(linked(spark)).collect()}
+    said = chat[1, 0]
     assert said.index("What is the plan?") < said.index("We go home.") < said.index("Thanks") < said.index("Unlinked words") and ">" not in said.replace("|>", "")
 
 
 def test_no_messages(spark):
     assert quotes.link_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_threads_stay_whole_and_replies_follow_their_sources(spark):
+    """A long conversation of two interleaved threads, cut into pieces by position."""
+    rows = [(9, i, "user", f"Root number {i}.") for i in (0, 1)]
+    rows += [(9, i, "user", f"> {'Root number' if i < 4 else 'Reply number'} {i - 2}.\nReply number {i}.") for i in range(2, 700)]
+    d = quotes.link_conversations(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    got = sorted(d.collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in got] == list(range(700))
+    assert [r["turn"] for r in got] == [*range(0, 700, 2), *range(1, 700, 2)]
+    at = {r["turn"]: r["position"] for r in got}
+    assert all(r["reply_to"] == r["turn"] - 2 and at[r["reply_to"]] < r["position"] for r in got if r["turn"] > 1)
+    pieces = quotes.render(d, 100).collect()
+    assert len(pieces) == 7 and all(r["chat"].count("<|user|>") == 100 for r in pieces)
+
+
+def test_partial_and_rewrapped_quotations_link(spark):
+    rows = [(1, 0, "user", "First there was a plan. Then it\nchanged for good! Nobody knew."), (1, 1, "user", "Something else."), (1, 2, "user", "> Then it changed\n> for good!\nYes."), (1, 3, "user", "> there was a plan\nNo such sentence.")]
+    got = {r["turn"]: r["reply_to"] for r in quotes.link_conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: None, 1: None, 2: 0, 3: None}
+
+
+def test_a_table_of_quotes_is_linked_as_built(spark):
+    out = quotes.quoted_conversations(spark, "/root/testdata/sf0.001")
+    n, linked = out.count(), out.where("reply_to is not null").count()
+    assert 3 * linked >= n and out.where("reply_to >= turn or text like '%> %'").count() == 0
+
+
+def test_repeated_pages_keep_a_record_each(spark):
+    same = "y" * 200
+    rows = [(1, "u", same, ""), (1, "u", same, ""), (2, "u", same, ""), (2, "u", "other " * 40, "")]
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(spark.createDataFrame(rows, PAGES)).collect())
+    assert got == [(1, "response", None), (1, "response", None), (2, "response", None), (2, "revisit", 1)]
