@@ -13,12 +13,15 @@ its word sequence only where all words of some phrase occur; document frequencie
 partial aggregation over at most the vocabulary's size) and the scan read that table.
 
 Defined cases: a null text is empty; an empty text has no words, null positions, empty
-labels and score 0; repeated rows are scanned alike; words after lower-casing A-Z are
-runs of 0-9, a-z and anything beyond ASCII.
+labels and score 0; a very long text is scanned whole; words of equal frequency rank by
+themselves, of a label's matches the best counts; repeated rows are scanned alike; words
+after lower-casing A-Z are runs of 0-9, a-z and anything beyond ASCII; columns other than
+doc_id and text, whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +33,22 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
+# The licences' own words, whole where they are short, else the notice that their text asks for.
+_WARRANTY = "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'
+_FREE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+TEXTS = [
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.', "the rights to use copy modify merge publish distribute sublicense"),
+    ("bsd-2", f"{_CONDITIONS} {_AS_IS} {_WARRANTY}", "with the distribution this software is provided by the copyright holders"),
+    ("bsd-3", f"{_CONDITIONS} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_AS_IS} {_WARRANTY}", "may be used to endorse or promote products derived from this software"),
+    ("isc", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.', "with or without fee is hereby granted"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "the origin of this software must not be misrepresented"),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.', "you may not use this file except in compliance with the license"),
+    *[(label, _FREE.format(name, version), f"{name.lower()} as published by the free software foundation either version {version}") for label, name, version in (("gpl-2.0", "General Public License", 2), ("gpl-3.0", "General Public License", 3), ("lgpl", "Lesser General Public License", 3), ("agpl", "Affero General Public License", 3))],
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "mozilla public license v 2 0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.", "free and unencumbered software released into the public domain"),
+]
 #: (label, notice, mandatory phrase of it)
 TEMPLATES = [
     ("mit", "released under the mit license", "mit license"),
@@ -47,6 +66,7 @@ TEMPLATES = [
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    *[(label, " ".join(re.findall(WORD, text.lower())), phrase) for label, text, phrase in TEXTS],
 ]
 RARE, MIN_MATCH = 3, 0.5
 VOCABULARY = sorted({w for _, t, _ in TEMPLATES for w in t.split()} | {w for p, _ in BASE for w in p.split()})
@@ -56,10 +76,15 @@ def _strings(items: list[str]) -> Column:
     return F.array(*[F.lit(x) for x in items]) if items else F.array().cast("array<string>")
 
 
-def _places(words: Column, word: Column | str) -> Column:
-    """0-based positions of a word, from the text's own postings."""
-    w = F.lit(word) if isinstance(word, str) else word
-    return F.filter(F.transform(words, lambda x, i: F.when(x == w, i)), lambda i: i.isNotNull())
+def _postings(words: Column) -> Column:
+    """(word, at) of every licence word of a text, made in one pass over its words."""
+    known = _strings(VOCABULARY)
+    return F.filter(F.transform(words, lambda x, i: F.when(F.array_contains(known, x), F.struct(x.alias("word"), i.alias("at")))), lambda p: p.isNotNull())
+
+
+def _places(postings: Column, word: Column) -> Column:
+    """0-based positions of a word, from the postings of a text or a notice."""
+    return F.transform(F.filter(postings, lambda p: p["word"] == word), lambda p: p["at"])
 
 
 def _stands(words: Column, at: Column, phrase: Column) -> Column:
@@ -85,7 +110,8 @@ def _with_words(docs: DataFrame) -> DataFrame:
     d = d.select("doc_id", "words", F.array_intersect("words", _strings(VOCABULARY)).alias("held"))
     phrases = [p for p, _ in BASE] + [p for _, _, p in TEMPLATES]
     any_phrase = reduce(lambda x, y: x | y, [_holds_all(F.col("held"), p.split()) for p in phrases])
-    return d.select("doc_id", F.size("words").cast("long").alias("n_words"), "held", F.when(any_phrase, F.col("words")).otherwise(F.array().cast("array<string>")).alias("words"))
+    some = F.when(any_phrase, F.col("words")).otherwise(F.array().cast("array<string>"))
+    return d.select("doc_id", F.size("words").cast("long").alias("n_words"), "held", some.alias("words"), _postings(some).alias("postings"))
 
 
 def document_frequencies(parsed: DataFrame) -> dict[str, int]:
@@ -101,14 +127,15 @@ def _template_rows(df: dict[str, int]) -> Column:
         n, p = notice.split(), phrase.split()
         lead = next(i for i in range(len(n)) if n[i : i + len(p)] == p)
         ranked = sorted(set(n), key=lambda w: (df[w], w))
-        rows.append(F.struct(F.lit(label).alias("label"), _strings(n).alias("notice"), _strings(p).alias("phrase"), _strings(ranked).alias("ranked"), F.lit(lead).alias("lead")))
+        own = F.transform(_strings(n), lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+        rows.append(F.struct(F.lit(label).alias("label"), _strings(n).alias("notice"), own.alias("postings"), _strings(p).alias("phrase"), _strings(ranked).alias("ranked"), F.lit(lead).alias("lead")))
     return F.array(*rows)
 
 
-def _alignments(words: Column, held: Column, t: Column) -> Column:
+def _alignments(postings: Column, held: Column, t: Column) -> Column:
     """Text positions of the notice's first word on which two of its rarest words agree."""
     rare = F.slice(F.filter(t["ranked"], lambda w: F.array_contains(held, w)), 1, RARE)
-    shifts = F.transform(rare, lambda w: F.array_distinct(F.flatten(F.transform(_places(words, w), lambda p: F.transform(_places(t["notice"], w), lambda q: p - q)))))
+    shifts = F.transform(rare, lambda w: F.array_distinct(F.flatten(F.transform(_places(postings, w), lambda p: F.transform(_places(t["postings"], w), lambda q: p - q)))))
     get = lambda k: F.coalesce(F.get(shifts, F.lit(k)), F.array().cast("array<int>"))
     return F.array_distinct(F.concat(*[F.array_intersect(get(a), get(b)) for a in range(RARE) for b in range(a)]))
 
@@ -122,15 +149,15 @@ def _match(words: Column, at: Column, notice: Column) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per text: base places and labels, verified labels and score."""
-    words, held = F.col("words"), F.col("held")
+    words, held, postings = F.col("words"), F.col("held"), F.col("postings")
     d = materialise(_with_words(docs), "licence-words")
     df = document_frequencies(d)
     base = F.array(*[F.struct(F.lit(label).alias("label"), _strings(p.split()).alias("phrase")) for p, label in BASE])
     possible = lambda x: F.forall(x["phrase"], lambda w: F.array_contains(held, w))
-    places = F.transform(F.filter(base, possible), lambda b: F.struct(b["label"].alias("label"), F.filter(_places(words, F.get(b["phrase"], F.lit(0))), lambda i: _stands(words, i, b["phrase"])).alias("at")))
+    places = F.transform(F.filter(base, possible), lambda b: F.struct(b["label"].alias("label"), F.filter(_places(postings, F.get(b["phrase"], F.lit(0))), lambda i: _stands(words, i, b["phrase"])).alias("at")))
 
     def best(t: Column) -> Column:
-        good = F.filter(_alignments(words, held, t), lambda d: _stands(words, d + t["lead"], t["phrase"]))
+        good = F.filter(_alignments(postings, held, t), lambda d: _stands(words, d + t["lead"], t["phrase"]))
         return F.struct(t["label"].alias("label"), F.array_max(F.transform(good, lambda d: _match(words, d, t["notice"]))).alias("share"))
 
     found = F.transform(F.filter(_template_rows(df), possible), best)

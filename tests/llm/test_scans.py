@@ -187,3 +187,12 @@ def test_several_shards_share_a_scan(spark, monkeypatch):
     size = max(s.index.bytes() for s in many[0])
     monkeypatch.setattr(dc, "SCAN_BYTES", 2 * size)
     assert all(sum(s.index.bytes() for s in scan) <= 2 * size for scan in dc.scans_of(b))
+
+
+def test_whole_licence_texts_get_their_labels(spark, tmp_path):
+    docs = [(i, f"Some project. {text} Some code follows.") for i, (_, text, _) in enumerate(licences.TEXTS)]
+    docs += [(100, licences.TEXTS[0][1].replace("sublicense, and/or sell", "sublicense, rent, and/or sell")), (101, licences.TEXTS[5][1][:60])]
+    own, sql, names = scan_both(spark, tmp_path, docs)
+    assert sorted(map(str, own)) == sorted(map(str, sql))
+    got = {r[names.index("doc_id")]: r[names.index("labels")].split(",") for r in own}
+    assert all(label in got[i] for i, (label, *_) in enumerate(licences.TEXTS)) and "mit" in got[100] and got[101] == ["apache-2.0"]
