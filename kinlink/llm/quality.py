@@ -7,8 +7,11 @@ all rows), its probability is calibrated on rows it was not fitted on, and whole
 texts are scored in Arrow batches against the fixed threshold ``KEEP_AT``.
 
 Defined cases: a null text is empty; an empty text has no words, fails the base
-rules and is not kept; repeated rows are judged alike, each on its own; without
-labels of both kinds the probability is constant and only base rules decide.
+rules and is not kept; a very long text is read whole; repeated rows are judged alike,
+each on its own; a probability equal to the threshold keeps; repeated labels of an id count
+as their maximum; other columns are not read, and ``keep_good`` returns them as they are,
+whatever their names; without labels of both kinds the probability is constant and only
+base rules decide; an empty table gives an empty result.
 """
 
 from __future__ import annotations

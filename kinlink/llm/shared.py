@@ -8,6 +8,7 @@ setting is empty (unit tests, local mode) is a folder of our own chosen.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -43,7 +44,7 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     path = f"{shared_root(spark)}/kinlink/{label}-{uuid.uuid4().hex}"
-    for paths in _recorders:
+    for paths in _recorders.get(threading.get_ident(), []):
         paths.append(path)
     return path
 
@@ -59,18 +60,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-_recorders: list[list[str]] = []
+_recorders: dict[int, list[list[str]]] = {}
 
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
-    """The paths that ``shared_path`` gives out meanwhile."""
+    """The paths that ``shared_path`` gives out to this thread meanwhile."""
     paths: list[str] = []
-    _recorders.append(paths)
+    own = _recorders.setdefault(threading.get_ident(), [])
+    own.append(paths)
     try:
         yield paths
     finally:
-        _recorders.remove(paths)
+        own[:] = [x for x in own if x is not paths]
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:

@@ -9,8 +9,11 @@ uses at most ``FIT_ROWS`` labelled rows; scoring covers every row and sees only
 text.
 
 Defined cases: a null text is empty; an empty text has all features 0 and gets the
-calibrated score of that point; repeated rows score alike; without labels of both
-kinds every score is the smoothed label rate.
+calibrated score of that point; a very long text is read whole, rates do not depend on
+its length; repeated rows score alike; of equal gains the first feature and cut split, equal
+margins are calibrated as one; repeated labels of an id count as their maximum; columns
+other than doc_id and text, whatever their names, are not read; without labels of both
+kinds every score is the smoothed label rate; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ only files named by the committed index count.
 
 Defined cases: a null or empty html is an empty payload; a null url is written as
 ``urn:page:<id>``; payloads under ``min_payload`` bytes are never deduplicated;
-repeated page ids keep all their rows (each gets a record of its own); an empty
+repeated page ids keep all their rows: each gets a record of its own, and those of
+equal payload and smallest id are all responses; a very long page is a frame of its own;
+columns other than page_id, url and html, whatever their names, are not read; an empty
 table gives an empty index.  A null page_id is a record with an empty identifier
 and is read back with a null id.
 """
@@ -176,8 +178,7 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names)
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                pid, url, payload, digest, refers = (batch.column(j)[i].as_py() for j in range(5))
+            for pid, url, payload, digest, refers in zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True):
                 if writer is None:
                     writer = BundleWriter(f"{folder}/{uuid.uuid4().hex}.warc.zst")
                 rows += writer.add(pid, record_bytes(pid, url, payload, digest, refers))

@@ -210,3 +210,80 @@ def test_long_runs_and_texts_without_spaces_end_in_time(model):
     assert time.monotonic() - began < 30
     again, at = pieces.decode(model, x.ids, x.first)
     assert again.tobytes() == data.tobytes() and at.tolist() == off.tolist() and all(len(b) == 4 for b in x.nbest)
+
+
+def polynomial(data):
+    """The kernel's hash of some bytes, in Python integers."""
+    return sum(int(K.CODES[b]) * pow(int(K.BASE), i, 1 << 64) for i, b in enumerate(data)) % (1 << 64)
+
+
+def mixed(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB % (1 << 64)
+    return x ^ x >> 31
+
+
+def probability_of(text, model):
+    """The quality model's probability by counting n-grams one by one."""
+    import math
+
+    data, top, bits = (text or "").encode(), 64 - quality.BITS, quality.BITS
+    h = [polynomial(w.encode()) for w in (text or "").translate(str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ") if w]
+    word = [mixed(x) >> top for x in h] + [mixed((mixed(a) * int(K.BASE) + mixed(b)) % (1 << 64)) >> top for a, b in zip(h, h[1:], strict=False)]
+    char = [(1 << bits) + ((int.from_bytes(data[i : i + 4], "little") * 0x9E3779B1 % (1 << 32)) >> (32 - bits)) for i in range(len(data) - 3)]
+    z = sum(sum(model.weights[b] for b in part) / max(1, len(part)) for part in (word, char))
+    return 1 / (1 + math.exp(-(model.slope * (z + model.bias) + model.shift)))
+
+
+def test_quality_verdicts_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    model = quality.QualityModel(rng.normal(0, 9, 2 << quality.BITS), 0.2, 1.5, -0.3)
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcdeé#") for _ in range(r.randint(1, 6))) for _ in range(r.randint(0, 90))) for _ in range(60)] + ["", None, "one", "abc", "same words again " * 30, "x " * 3000]
+    got = {x["doc_id"]: x for x in quality.judge(quality.score(spark.createDataFrame(list(enumerate(texts)), SCHEMA), model)).collect()}
+    for i, t in enumerate(texts):
+        p, (n, _, _, _, repeat) = probability_of(t, model), base_of(t)
+        assert abs(got[i]["probability"] - p) < 1e-9
+        assert got[i]["base_failed"] == (n < 50 or 100 * repeat > 50 * n) and got[i]["kept"] == (not got[i]["base_failed"] and p >= quality.KEEP_AT)
+    assert {x["kept"] for x in got.values()} == {True, False}
+
+
+def dense_features(text):
+    """Features that need no learned lexicon, word by word."""
+    import math
+    import re
+
+    text = text or ""
+    words = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", text)
+    low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+    n, size = max(1, len(words)), max(1, len(text.encode()))
+    hits = [i for i, w in enumerate(low) if w in toxicity.INSULTS]
+    you = [i for i, w in enumerate(low) if w in toxicity.SECOND_PERSON]
+    return {"seed": len(hits) / n, "second": len(you) / n, "near_second": sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in hits) / n, "capitals": sum("A" <= c <= "Z" for c in text) / size,
+            "all_caps": sum(len(w.encode()) > 1 and all("A" <= c <= "Z" for c in w) for w in words) / n, "punct": sum(c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" for c in text) / size, "exclaim": text.count("!") / size, "log_words": math.log1p(len(words))}
+
+
+def test_toxicity_features_and_trees_equal_brute_force():
+    r = random.Random(5)
+    pool = ["you", "idiot", "YOU", "scum", "hello", "Ü", "IT", "x1", "fool!", "kill...", "dich", "a", "--", "\n"]
+    texts = [" ".join(r.choice(pool) for _ in range(r.randint(0, 40))) for _ in range(120)] + ["", None, "idiot", "é" * 50, "you " * 5000 + "idiot"]
+    data, off = K.buffers(pa.array(texts, pa.string()))
+    x = toxicity.features(data, off, np.zeros(0, "u8"))
+    for i, t in enumerate(texts):
+        for name, value in dense_features(t).items():
+            assert abs(x[i, toxicity.FEATURES.index(name)] - value) < 1e-12, (name, t)
+    y = np.array([float("idiot" in (t or "") and "you" in (t or "").lower()) for t in texts])
+    trees = toxicity.Trees(rounds=12).fit(x, y)
+    for i in range(len(texts)):
+        z = trees.start
+        for feat, cut, leaf in trees.splits:
+            node = 0
+            for level in range(trees.depth):
+                at = (1 << level) - 1 + node
+                right = sum(c <= x[i, feat[at]] for c in trees.cuts[feat[at]]) > cut[at]
+                node = 2 * node + right
+            z += leaf[node]
+        assert abs(z - trees.margin(x)[i]) < 1e-9
+    assert trees.margin(x)[y == 1].min() > trees.margin(x)[y == 0].mean()
