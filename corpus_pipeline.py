@@ -4,13 +4,15 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor ke
 its result is written as Parquet and read again before the next one starts.  All but
 the last return the columns of ``documents``.
 
-Defined cases: stages take null and empty texts (the base rules reject them), repeated
-rows (one stays), and extra columns of any name (they are carried through to the last
-stage); an empty table gives an empty result.
+Defined cases: stages take null and empty texts (the base rules reject them), very long
+texts (whole), repeated rows (one stays, any one where they tie) and extra columns of any
+name: the first four stages carry them, the last returns doc_id and what it encodes, and
+none of the other columns; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +21,19 @@ from pyspark.sql import functions as F
 from kinlink.llm import decontaminate, minhash, pieces, quality, spans
 from kinlink.llm.shared import recorded, remove, shared_path
 
-_used: list[str] = []
+#: Tables of the stage under way, by thread and data folder: runs side by side keep apart.
+_used: dict[tuple[int, str], list[str]] = {}
 
 
 def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """A stage's own tables go when the next stage starts: by then its result is written."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove(spark, _used)
-        _used.clear()
+        key = threading.get_ident(), sf_dir
+        remove(spark, _used.pop(key, []))
         with recorded() as paths:
             out = work(spark, docs, sf_dir)
-        _used.extend(paths)
+        _used[key] = paths
         return out
 
     return run
