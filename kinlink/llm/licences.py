@@ -1,11 +1,12 @@
 """Licence scans: a positional rare-token index over notice templates, DataFrame only.
 
-For every text and template the template's words that the text holds are ranked by
-their document frequency in the whole corpus (highest IDF first); the ``RARE`` rarest
-are looked up in the text's postings, and each gives the set of alignments (text
-position minus template position).  Alignments that at least two of them share are
-verified: the template's mandatory phrase must stand there word for word, and at
-least ``MIN_MATCH`` of all template words must agree.  The template library and its
+A template's words are ranked by their document frequency in the whole corpus (highest
+IDF first).  The first of them, as many as leave too few places for a match among the
+rest, are looked up in the text's postings; every place gives an alignment (text position
+minus template position).  A match agrees in at least ``MIN_MATCH`` of n places, and of
+these at least two are among any n - need + 2, so alignments that occur twice are all that
+can match.  They are verified: the template's mandatory phrase must stand there word for
+word, and ``MIN_MATCH`` of all template words must agree.  The template library and its
 vocabulary are the only things broadcast or collected, and both are constants.
 
 No shuffle carries text: one pass over the corpus writes each text's licence words, and
@@ -21,6 +22,7 @@ doc_id and text, whatever their names, are not read; an empty table gives an emp
 
 from __future__ import annotations
 
+import math
 import re
 from functools import reduce
 
@@ -68,7 +70,7 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
     *[(label, " ".join(re.findall(WORD, text.lower())), phrase) for label, text, phrase in TEXTS],
 ]
-RARE, MIN_MATCH = 3, 0.5
+MIN_MATCH = 0.5
 VOCABULARY = sorted({w for _, t, _ in TEMPLATES for w in t.split()} | {w for p, _ in BASE for w in p.split()})
 
 
@@ -120,24 +122,39 @@ def document_frequencies(parsed: DataFrame) -> dict[str, int]:
     return {w: 0 for w in VOCABULARY} | {r["word"]: r["n"] for r in rows}
 
 
+def _rare_words(notice: list[str], df: dict[str, int]) -> list[str]:
+    """The notice's rarest words, whose places hold at least two places of every match."""
+    room = len(notice) - math.ceil(MIN_MATCH * len(notice)) + 2
+    rare, held = [], 0
+    for w in sorted(set(notice), key=lambda w: (df[w], w)):
+        if held >= room:
+            break
+        rare.append(w)
+        held += notice.count(w)
+    return rare
+
+
 def _template_rows(df: dict[str, int]) -> Column:
-    """The template library as one array; ranked: a notice's words, rarest in the corpus first."""
+    """The template library as one array; rare and at: a notice's rarest words and their places in it."""
     rows = []
     for label, notice, phrase in TEMPLATES:
         n, p = notice.split(), phrase.split()
-        lead = next(i for i in range(len(n)) if n[i : i + len(p)] == p)
-        ranked = sorted(set(n), key=lambda w: (df[w], w))
-        own = F.transform(_strings(n), lambda w, i: F.struct(w.alias("word"), i.alias("at")))
-        rows.append(F.struct(F.lit(label).alias("label"), _strings(n).alias("notice"), own.alias("postings"), _strings(p).alias("phrase"), _strings(ranked).alias("ranked"), F.lit(lead).alias("lead")))
+        rare = _rare_words(n, df)
+        at = F.array(*[F.array(*[F.lit(i) for i, x in enumerate(n) if x == w]) for w in rare])
+        rows.append(F.struct(F.lit(label).alias("label"), _strings(n).alias("notice"), _strings(p).alias("phrase"), _strings(rare).alias("rare"), at.alias("at"), F.lit(_lead(n, p)).alias("lead")))
     return F.array(*rows)
 
 
-def _alignments(postings: Column, held: Column, t: Column) -> Column:
-    """Text positions of the notice's first word on which two of its rarest words agree."""
-    rare = F.slice(F.filter(t["ranked"], lambda w: F.array_contains(held, w)), 1, RARE)
-    shifts = F.transform(rare, lambda w: F.array_distinct(F.flatten(F.transform(_places(postings, w), lambda p: F.transform(_places(t["postings"], w), lambda q: p - q)))))
-    get = lambda k: F.coalesce(F.get(shifts, F.lit(k)), F.array().cast("array<int>"))
-    return F.array_distinct(F.concat(*[F.array_intersect(get(a), get(b)) for a in range(RARE) for b in range(a)]))
+def _lead(notice: list[str], phrase: list[str]) -> int:
+    return next(i for i in range(len(notice)) if notice[i : i + len(phrase)] == phrase)
+
+
+def _alignments(postings: Column, t: Column) -> Column:
+    """Text positions of the notice's first word on which two places of its rare words agree."""
+    hits = F.filter(postings, lambda p: F.array_contains(t["rare"], p["word"]))
+    shifts = F.flatten(F.transform(hits, lambda p: F.transform(F.get(t["at"], F.array_position(t["rare"], p["word"]).cast("int") - 1), lambda q: p["at"] - q)))
+    twice = F.transform(F.array(F.sort_array(shifts)), lambda s: F.filter(s, lambda x, i: x == F.get(s, i + 1)))
+    return F.array_distinct(F.flatten(twice))
 
 
 def _match(words: Column, at: Column, notice: Column) -> Column:
@@ -157,7 +174,7 @@ def scan(docs: DataFrame) -> DataFrame:
     places = F.transform(F.filter(base, possible), lambda b: F.struct(b["label"].alias("label"), F.filter(_places(postings, F.get(b["phrase"], F.lit(0))), lambda i: _stands(words, i, b["phrase"])).alias("at")))
 
     def best(t: Column) -> Column:
-        good = F.filter(_alignments(postings, held, t), lambda d: _stands(words, d + t["lead"], t["phrase"]))
+        good = F.filter(_alignments(postings, t), lambda d: _stands(words, d + t["lead"], t["phrase"]))
         return F.struct(t["label"].alias("label"), F.array_max(F.transform(good, lambda d: _match(words, d, t["notice"]))).alias("share"))
 
     found = F.transform(F.filter(_template_rows(df), possible), best)
@@ -176,29 +193,19 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     quote = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
-    rows = ",\n    ".join(f"({k}, '{label}', {quote(t.split())}, {quote(p.split())})" for k, (label, t, p) in enumerate(TEMPLATES))
+    rows = ",\n    ".join(f"('{label}', {quote(t.split())}, {quote(p.split())}, {_lead(t.split(), p.split())})" for label, t, p in TEMPLATES)
     base = ",\n    ".join(f"('{label}', {quote(p.split())})" for p, label in BASE)
     return rf"""
 with w as (select row_number() over () as r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as words from documents),
 base(label, p) as (values {base}),
-tmpl(k, label, t, p) as (values {rows}),
+tmpl(label, t, p, lead) as (values {rows}),
 places as (select r, label, unnest(list_filter(range(0, len(words)), lambda i: list_slice(words, i + 1, i + len(p)) = p)) as i
     from w, base where list_has_all(words, p)),
 b as (select r, count(*) n, min(i) lo, max(i) hi, string_agg(distinct label, ',' order by label) labels from places group by r),
-df as (select word, count(*) n from (select unnest(list_distinct(words)) as word from w) group by word),
-c as (select r, words, k, label, t, p from w, tmpl where list_has_all(words, p)),
-cw as (select distinct r, k, unnest(t) as word from c),
-rare as (select r, k, word from (select cw.r, cw.k, cw.word, row_number() over (partition by cw.r, cw.k order by df.n, cw.word) o
-    from cw join w on w.r = cw.r and list_contains(w.words, cw.word) join df on df.word = cw.word) where o <= {RARE}),
-pos as (select c.r, c.k, rare.word, i.i as i, j.j as j from c join rare on rare.r = c.r and rare.k = c.k,
-    unnest(list_filter(range(0, len(c.words)), lambda i: c.words[i + 1] = rare.word)) as i(i),
-    unnest(list_filter(range(0, len(c.t)), lambda j: c.t[j + 1] = rare.word)) as j(j)),
-diag as (select r, k, i - j as d from pos group by r, k, i - j having count(distinct word) >= 2),
-ver as (select c.r, c.label, len(list_filter(range(0, len(t)), lambda j: d + j >= 0 and c.words[greatest(d + j, 0) + 1] = c.t[j + 1])) / cast(len(t) as double) s
-    from diag join c on c.r = diag.r and c.k = diag.k,
-    lateral (select min(j) as lead from unnest(range(0, len(t))) as u(j) where list_slice(t, j + 1, j + len(p)) = p) as l
-    where d + lead >= 0 and list_slice(words, d + lead + 1, d + lead + len(p)) = p),
+c as (select r, words, label, t, unnest(list_filter(range(0, len(words)), lambda i: list_slice(words, i + 1, i + len(p)) = p)) - lead as d
+    from w, tmpl where list_has_all(words, p)),
+ver as (select r, label, len(list_filter(range(0, len(t)), lambda j: d + j >= 0 and words[greatest(d + j, 0) + 1] = t[j + 1])) / cast(len(t) as double) s from c),
 v as (select r, label, max(s) s from ver where s >= {MIN_MATCH} group by r, label),
 alls as (select r, label from v union select r, label from places),
 al as (select r, string_agg(distinct label, ',' order by label) labels from alls group by r),

@@ -196,3 +196,17 @@ def test_whole_licence_texts_get_their_labels(spark, tmp_path):
     assert sorted(map(str, own)) == sorted(map(str, sql))
     got = {r[names.index("doc_id")]: r[names.index("labels")].split(",") for r in own}
     assert all(label in got[i] for i, (label, *_) in enumerate(licences.TEXTS)) and "mit" in got[100] and got[101] == ["apache-2.0"]
+
+
+def test_edited_notices_keep_every_label_that_the_places_allow(spark, tmp_path):
+    rng = random.Random(16)
+    docs = [(0, "permission is hereby granted free of charge to any person obtaining a copy of this software and its associated documentation files")]
+    for i in range(1, 240):
+        words = rng.choice(licences.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randint(0, 1)] = rng.choice([["its"], [], [rng.choice(words)]])
+        docs.append((i, " ".join(["x"] * rng.randint(0, 3) + words * rng.randint(1, 2))))
+    own, sql, names = scan_both(spark, tmp_path, docs)
+    assert sorted(map(str, own)) == sorted(map(str, sql))
+    assert {r[names.index("doc_id")]: r[names.index("labels")] for r in own}[0] == "mit"
