@@ -35,7 +35,7 @@ KEEP_AT = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BITS = 16
 FIT_BLOCK = 200
-SCALE = 20.0
+SCALE, RIDGE = 20.0, 1e-6
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -110,28 +110,53 @@ def base_statistics(data: np.ndarray, off: np.ndarray, s, e, first, px: K.Prefix
     return out
 
 
+def minimise(loss, x: np.ndarray, steps: int = 30, memory: int = 8, small: float = 1e-3) -> np.ndarray:
+    """L-BFGS with halved steps, until the gradient is ``small`` times the first one."""
+    f, g = loss(x)
+    end, pairs = small * np.linalg.norm(g), []
+    for _ in range(steps):
+        if not np.linalg.norm(g) > end:
+            break
+        d, used = g.copy(), []
+        for s, t in reversed(pairs):
+            used.append((s @ d) / (s @ t))
+            d -= used[-1] * t
+        d *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / np.linalg.norm(g)
+        for (s, t), a in zip(pairs, reversed(used), strict=True):
+            d += (a - (t @ d) / (s @ t)) * s
+        size = 1.0
+        while (new := loss(x - size * d))[0] > f - 1e-4 * size * (g @ d):
+            size /= 2
+            if size < 1e-6:
+                return x
+        s, t = -size * d, new[1] - g
+        x, (f, g) = x + s, new
+        if s @ t > 1e-12:
+            pairs = [*pairs[1 - memory :], (s, t)]
+    return x
+
+
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, data, off in K.chunked(batch.column("text")):
+            s, e, first = K.words(data, off)
+            wb, wr, cb, cr = _buckets(data, off, s, e, first, K.Prefix(data))
+            nw, nc = np.bincount(wr, minlength=b - a), np.bincount(cr, minlength=b - a)
+            key, n = np.unique(np.concatenate([wr << (BITS + 1) | wb, cr << (BITS + 1) | cb]), return_counts=True)
+            row, col = key >> (BITS + 1), key & ((1 << (BITS + 1)) - 1)
+            x = n / np.where(col >> BITS, nc[row], nw[row])
+            cut = np.searchsorted(row, np.arange(b - a + 1))
+            rows = range(b - a)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").slice(a, b - a), batch.column("y").slice(a, b - a).cast(pa.int32()),
+                pa.array([col[cut[i]:cut[i + 1]].astype("<i4").tobytes() for i in rows], pa.binary()),
+                pa.array([x[cut[i]:cut[i + 1]].astype("<f4").tobytes() for i in rows], pa.binary())], ["doc_id", "y", "col", "x"])
+
+
 def fit(sample: DataFrame) -> QualityModel:
     """Fit on rows (doc_id, text, y); every fifth row by id hash only calibrates."""
-
     bound_batches(sample.sparkSession)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, off in K.chunked(batch.column("text")):
-                s, e, first = K.words(data, off)
-                wb, wr, cb, cr = _buckets(data, off, s, e, first, K.Prefix(data))
-                nw, nc = np.bincount(wr, minlength=b - a), np.bincount(cr, minlength=b - a)
-                key, n = np.unique(np.concatenate([wr << (BITS + 1) | wb, cr << (BITS + 1) | cb]), return_counts=True)
-                row, col = key >> (BITS + 1), key & ((1 << (BITS + 1)) - 1)
-                x = n / np.where(col >> BITS, nc[row], nw[row])
-                cut = np.searchsorted(row, np.arange(b - a + 1))
-                rows = range(b - a)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a), batch.column("y").slice(a, b - a).cast(pa.int32()),
-                    pa.array([col[cut[i]:cut[i + 1]].astype("<i4").tobytes() for i in rows], pa.binary()),
-                    pa.array([x[cut[i]:cut[i + 1]].astype("<f4").tobytes() for i in rows], pa.binary())], ["doc_id", "y", "col", "x"])
-
-    got = sample.mapInArrow(features, "doc_id long, y int, col binary, x binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending"), ("col", "ascending")])
+    got = sample.mapInArrow(_fit_rows, "doc_id long, y int, col binary, x binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending"), ("col", "ascending")])
     ids, y = got.column("doc_id").to_numpy(), got.column("y").to_numpy().astype(float)
     held = K.mix(ids.view(K.U)) % K.U(5) == 0
     w = np.zeros(2 << BITS)
@@ -145,27 +170,29 @@ def fit(sample: DataFrame) -> QualityModel:
         blocks.append((np.frombuffer(b"".join(col), "<i4"), np.frombuffer(b"".join(val), "<f4") * np.float32(SCALE), row))
     del got
 
-    def margins(w: np.ndarray, bias: float) -> np.ndarray:
-        z = np.full(len(y), bias)
+    share = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum()))
+    share[held] = 0
+
+    def margins(x: np.ndarray) -> np.ndarray:
+        z = np.full(len(y), x[-1])
         for c, v, r in blocks:
-            z += np.bincount(r, weights=w[c] * v, minlength=len(y))
+            z += np.bincount(r, weights=x[c] * v, minlength=len(y))
         return z
 
-    bias, m, u = 0.0, np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    share = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum()))
-    share[held] = 0
-    for t in range(1, 81):  # Adam over the whole sample, both labels with equal weight
-        err = share * (sigmoid(margins(w, bias)) - y)
-        g = np.append(1e-6 * w, err.sum())
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Both labels with equal weight, and its gradient: two passes over the blocks."""
+        z = margins(x)
+        err = share * (sigmoid(z) - y)
+        g = np.append(RIDGE * x[:-1], err.sum())
         for c, v, r in blocks:
-            g[:-1] += np.bincount(c, weights=err[r] * v, minlength=len(w))
-        m, u = 0.9 * m + 0.1 * g, 0.99 * u + 0.01 * g * g
-        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(u / (1 - 0.99**t)) + 1e-9)
-        w, bias = w - step[:-1], bias - step[-1]
-    z = margins(w, bias)
+            g[:-1] += np.bincount(c, weights=err[r] * v, minlength=len(g) - 1)
+        return float(share @ np.logaddexp(0, (1 - 2 * y) * z)) + RIDGE / 2 * float(x[:-1] @ x[:-1]), g
+
+    x = minimise(loss, np.zeros(len(w) + 1))
+    z = margins(x)
     fit_on = held if len(set(y[held])) == 2 else ~held
     slope, shift = platt(z[fit_on], y[fit_on])
-    return QualityModel(w * SCALE, bias, slope, shift)
+    return QualityModel(x[:-1] * SCALE, float(x[-1]), slope, shift)
 
 
 SCORED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, probability double"
