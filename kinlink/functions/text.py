@@ -101,7 +101,8 @@ def _unglued(text: Column) -> Column:
 
 def _finished(expanded: Column, remove_suffix: bool) -> Column:
     forms = "|".join(s.replace(" ", GLUE) for s in LEGAL_SUFFIXES)
-    words = F.regexp_replace(expanded, f"((^| )({forms}))+$", "") if remove_suffix else expanded
+    # possessive: the JVM would recurse once for each of many trailing forms
+    words = F.regexp_replace(expanded, f"((^| )({forms})(?= |$))++$", "") if remove_suffix else expanded
     return F.trim(_unglued(words))
 
 

@@ -13,8 +13,9 @@ TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 
 
 #: A line whose cells are whole: bare ones, or quoted ones that are closed before the line ends.
-_WHOLE_CELL = r'(?:(?!")[^\t]*|"(?:[^"]|"")*"[^\t"]*)'
-_WHOLE_LINE = rf"^{_WHOLE_CELL}(?:\t{_WHOLE_CELL})*$"
+#: Possessive, so that the JVM matches cells of any length without recursion.
+_WHOLE_CELL = r'(?:(?!")[^\t]*+|"[^"]*+(?:""[^"]*+)*+"[^\t"]*+)'
+_WHOLE_LINE = rf"^{_WHOLE_CELL}(?:\t{_WHOLE_CELL})*+$"
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], multi_line: bool | None = None) -> DataFrame:

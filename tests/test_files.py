@@ -23,6 +23,13 @@ def test_tsv_quirks(spark, tmp_path):
     assert [len(c) for c in tsv.read_source(spark, p, chunksize=2)] == [2, 1]
 
 
+def test_long_quoted_cells(spark, tmp_path):
+    long = 'a""b ' * 50_000
+    p = put(f"{tmp_path}/a.tsv", HEAD + f'S1-1\t"{long}"\tx\tUS\nS1-2\t"y\nz"\tNA\tDE\n')
+    rows = {r["entity_id"]: tuple(r)[1:] for r in tsv.read_source(spark, p).collect()}
+    assert rows == {"S1-1": (long.replace('""', '"'), "x", "US"), "S1-2": ("y\nz", "NA", "DE")}
+
+
 def test_validation_order(spark, tmp_path):
     d = spark.createDataFrame([("a", None), ("a", "x")], "k string, v string")
     with pytest.raises(ValueError, match="lacks"):

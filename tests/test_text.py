@@ -53,3 +53,8 @@ def test_tokens_ids_and_blanks(spark):
     assert rows["S1-2"]["name_tokens"] == [] and rows["S1-2"]["bt"] == []
     one = spark.createDataFrame([("a,,b", " \t "), (None, "x")], "l string, s string").select(parse_ids(F.col("l")).alias("ids"), blank(F.col("s")).alias("blank")).collect()
     assert [tuple(r) for r in one] == [(["a", "b"], True), ([], False)]
+
+
+def test_many_legal_forms_at_the_end(spark):
+    d = spark.createDataFrame([("Acme" + " ltd llc" * 20_000,), ("Acme ltd ltdx",), ("ltd",), ("Acme co company",)], "text string")
+    assert [r[0] for r in d.select(normalize_text(F.col("text"), True)).collect()] == ["acme", "acme limited ltdx", "", "acme"]
