@@ -10,6 +10,8 @@ from kinlink.sources.scratch import scratch_path
 from kinlink.sources.store import with_numbers
 
 TOP_K_CLI, TOP_K_API = 60, 250
+#: Bits of a record's number within a block of postings: a token sends at most 1024 records at once.
+BLOCK_BITS = 10
 
 
 def _normalized(records: DataFrame) -> DataFrame:
@@ -51,12 +53,14 @@ def numbered(records: DataFrame) -> DataFrame:
 def shared_tokens(s: DataFrame, t: DataFrame) -> DataFrame:
     """(a, b, overlap) of numbered records within a country.
 
-    Pairs are dealt by the record that looks for candidates, once: counts and ranks need
-    no other exchange.
+    Postings meet as blocks of a token's records with neighbouring numbers, so a hot token
+    sends few rows.  They are dealt by the record that looks for candidates, once, and
+    opened behind that exchange: counts and ranks need no other.
     """
     left = s.select(F.col("num").alias("a"), "country", F.explode("tokens").alias("token"))
     right = t.select(F.col("num").alias("b"), "country", F.explode("tokens").alias("token"))
-    pairs = left.join(right, ["country", "token"]).select("a", "b").repartition("a")
+    blocks = right.groupBy("country", "token", F.shiftright("b", BLOCK_BITS)).agg(F.collect_list("b").alias("block"))
+    pairs = left.join(blocks, ["country", "token"]).select("a", "block").repartition("a").select("a", F.explode("block").alias("b"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"))
 
 

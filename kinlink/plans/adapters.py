@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as records: source by id, name and address from the first words."""
+    """Documents as records: source by id, name from the first six words, address from all others."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words = F.split(F.regexp_extract("text", r"^\s*(\S+(?:\s+\S+){0,13})", 1), r"\s+")
-    words = F.filter(words, lambda w: w != "")
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     d = d.select("doc_id", "lang", words.alias("w"))
+    rest = F.slice("w", F.lit(7), F.greatest(F.size("w") - 6, F.lit(0)))
     return d.select(F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
-                    F.array_join(F.slice("w", 1, 6), " ").alias("business_name"), F.array_join(F.slice("w", 7, 8), " ").alias("business_address"), F.col("lang").alias("country"))
+                    F.array_join(F.slice("w", 1, 6), " ").alias("business_name"), F.array_join(rest, " ").alias("business_address"), F.col("lang").alias("country"))
 
 
 def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,10 @@ def document_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select(F.col("id").alias("source1_entity_id"), "matched_entity_ids")
 
 
-def equal_records(source1: DataFrame, targets: DataFrame) -> DataFrame:
-    """(s1, cand) of records with equal name, address and country."""
-    same = ["business_name", "business_address", "country"]
-    return source1.selectExpr(*same, "entity_id as s1").join(targets.selectExpr(*same, "entity_id as cand"), same).select("s1", "cand")
+def part_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s1, cand): parts of other sources with equal name, type and size, whatever their brand."""
+    same = ["p_name", "p_type", "p_size"]
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select(*same, "p_partkey")
+    name = lambda i: F.concat(F.lit("S"), (F.col("p_partkey") % 3 + 1).cast("string"), F.lit("-"), F.col("p_partkey").cast("string")).alias(i)
+    one, other = p.where("p_partkey % 3 = 0").select(*same, name("s1")), p.where("p_partkey % 3 <> 0").select(*same, name("cand"))
+    return one.join(other, same).select("s1", "cand")

@@ -1,6 +1,9 @@
 """Registered queries of the record-linkage engine and their DuckDB SQL.
 
-All run over all rows: documents as records of their first 14 words, S1 against S2 and S3, top 60.
+All run over all rows and whole texts: S1 against S2 and S3, top 60.  Text, blocking, metric
+and audit queries take documents as records; queries whose work on a pair grows with the
+product of its lengths (features, rule, trees) take parts, whose fields are short as a
+business name or address is.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ nrm as (select entity_id, business_name, business_address, country, trim(replace
   trim(replace(regexp_replace(en, '((^| )({_FORMS}))+$', ''), '~', ' ')) name_core, trim(replace(ea, '~', ' ')) address_norm from raw),
 r as (select *, list_filter(string_split(name_norm, ' '), lambda t: t <> '') name_tokens, list_filter(string_split(address_norm, ' '), lambda t: t <> '') address_tokens from nrm)"""
 _DOCS = r"""w as (select doc_id, lang, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') tk from documents),
-rec as (select 'S' || (doc_id % 3 + 1) || '-' || doc_id entity_id, array_to_string(tk[1:6], ' ') business_name, array_to_string(tk[7:14], ' ') business_address, lang country from w)"""
+rec as (select 'S' || (doc_id % 3 + 1) || '-' || doc_id entity_id, array_to_string(tk[1:6], ' ') business_name, array_to_string(tk[7:], ' ') business_address, lang country from w)"""
 _PARTS = "rec as (select 'S' || (p_partkey % 3 + 1) || '-' || p_partkey entity_id, p_name business_name, p_brand || ' ' || p_type business_address, cast(p_size as varchar) country from part)"
 _TRUTH = """tp as (select 'S1-' || a.doc_id s1, 'S' || (b.doc_id % 3 + 1) || '-' || b.doc_id cand from documents a join documents b on a.text = b.text where a.doc_id % 3 = 0 and b.doc_id % 3 <> 0),
 tm as (select entity_id s1, coalesce(list(distinct cand) filter (where cand is not null), []) ids from rec left join tp on s1 = entity_id where entity_id like 'S1-%' group by entity_id)"""
@@ -119,7 +122,7 @@ rm as (select s1, cand, score from rs where gate and score >= 0.78)"""
 class _Place(str):
     """A data folder; one query reads, normalises and numbers its records once."""
 
-    records: DataFrame | None = None
+    records: dict[str, DataFrame] | None = None
 
 
 def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -136,29 +139,37 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     return add_normalized_columns(adapters.document_records(spark, sf))
 
 
-def _sides(spark: SparkSession, sf: _Place) -> tuple[DataFrame, DataFrame]:
-    if sf.records is None:
-        sf.records = blocking.numbered(adapters.document_records(spark, sf))
-    return adapters.source(sf.records, 1), adapters.source(sf.records, 2, 3)
+def _sides(spark: SparkSession, sf: _Place, view: Query = adapters.document_records) -> tuple[DataFrame, DataFrame]:
+    sf.records = sf.records or {}
+    if view.__name__ not in sf.records:
+        sf.records[view.__name__] = blocking.numbered(view(spark, sf))
+    d = sf.records[view.__name__]
+    return adapters.source(d, 1), adapters.source(d, 2, 3)
 
 
 def _top(spark: SparkSession, sf: _Place, k: int | None = K) -> DataFrame:
     return blocking.candidates(*_sides(spark, sf), k)
 
 
+def _part_pairs(spark: SparkSession, sf: _Place) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates among parts and both sides' records."""
+    s1, targets = _sides(spark, sf, adapters.part_records)
+    return blocking.candidates(s1, targets, K), s1, targets
+
+
 def _truth(spark: SparkSession, sf: str) -> DataFrame:
     return truth_map(adapters.document_truth(spark, sf))
 
 
 def _features(spark: SparkSession, sf: str, *names: str) -> DataFrame:
-    s1, targets = _sides(spark, sf)
-    both = attach(_top(spark, sf).select("s1", "cand"), s1, targets)
+    top, s1, targets = _part_pairs(spark, sf)
+    both = attach(top.select("s1", "cand"), s1, targets)
     native = sim.native_features()
     return both.select("s1", "cand", *[F.round(native[n], 6).alias(n) for n in names])
 
 
 def _feature_sql(*names: str) -> str:
-    return _with(_DOCS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, " + ", ".join(f"round(cast({_SQL_FEATURES[n]} as double), 6) as {n}" for n in names) + " from p")
+    return _with(_PARTS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, " + ", ".join(f"round(cast({_SQL_FEATURES[n]} as double), 6) as {n}" for n in names) + " from p")
 
 
 def _joined(c: str) -> Column:
@@ -245,10 +256,10 @@ def _(spark, sf):
     return store.fetch_records(targets, ids).select("entity_id", "name_norm", "address_norm", "country")
 
 
-@_query("pair_attach", _with(_DOCS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, ln as l_name_norm, rn as r_name_norm, la as l_address_norm, ra as r_address_norm from p"))
+@_query("pair_attach", _with(_PARTS, _NORM, _BLOCK, _PAIRS, end="select s1, cand, ln as l_name_norm, rn as r_name_norm, la as l_address_norm, ra as r_address_norm from p"))
 def _(spark, sf):
-    s1, targets = _sides(spark, sf)
-    return attach(_top(spark, sf).select("s1", "cand"), s1, targets).select("s1", "cand", "l_name_norm", "r_name_norm", "l_address_norm", "r_address_norm")
+    top, s1, targets = _part_pairs(spark, sf)
+    return attach(top.select("s1", "cand"), s1, targets).select("s1", "cand", "l_name_norm", "r_name_norm", "l_address_norm", "r_address_norm")
 
 
 for _name, _columns in {
@@ -270,12 +281,11 @@ def _rounded(f: str) -> str:
 
 
 # The oracle's matching blocks have no popular-character rule: it starts at right sides of 200
-# characters, which no record of 14 words reaches at this scale; unit tests cover it.
-@_query("feature_frame", _with(_DOCS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, recursive=True,
+# characters, which no field of a part reaches; unit tests cover it.
+@_query("feature_frame", _with(_PARTS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, recursive=True,
                                end="select s1 as source1_entity_id, cand as candidate_entity_id, " + ", ".join(_rounded(f) for f in sim.FEATURES) + " from p join sq nq on nq.a = ln and nq.b = rn join sq aq on aq.a = la and aq.b = ra"))
 def _(spark, sf):
-    s1, targets = _sides(spark, sf)
-    out = feature_frame(_top(spark, sf), s1, targets)
+    out = feature_frame(*_part_pairs(spark, sf))
     return out.select("source1_entity_id", "candidate_entity_id", *[F.round(F.col(f).cast("double"), 6).alias(f) for f in sim.FEATURES])
 
 
@@ -288,26 +298,25 @@ def _(spark, sf):
     return d.select("l", "r", sim.sequence_ratio(F.col("l"), F.col("r")).alias("ratio"))
 
 
-@_query("rule_score_no_seq", _with(_DOCS, _NORM, _BLOCK, _PAIRS, f"j as (select s1, cand, {_SQL_FEATURES['name_core_jaccard']} n, {_SQL_FEATURES['address_jaccard']} a from p)",
+@_query("rule_score_no_seq", _with(_PARTS, _NORM, _BLOCK, _PAIRS, f"j as (select s1, cand, {_SQL_FEATURES['name_core_jaccard']} n, {_SQL_FEATURES['address_jaccard']} a from p)",
                                    end="select s1, cand, round(0.45::double * n + 0.20::double * a, 6) as score, n >= 0.5 or a >= 0.5 as gate from j"))
 def _(spark, sf):
-    s1, targets = _sides(spark, sf)
+    top, s1, targets = _part_pairs(spark, sf)
     native = sim.native_features()
-    j = attach(_top(spark, sf).select("s1", "cand"), s1, targets).select("s1", "cand", native["name_core_jaccard"].alias("name_core_jaccard"), native["address_jaccard"].alias("address_jaccard"))
+    j = attach(top.select("s1", "cand"), s1, targets).select("s1", "cand", native["name_core_jaccard"].alias("name_core_jaccard"), native["address_jaccard"].alias("address_jaccard"))
     return j.select("s1", "cand", F.round(decide.score_without_sequence(), 6).alias("score"), decide.gate().alias("gate"))
 
 
 def _rule(spark: SparkSession, sf: str) -> DataFrame:
-    s1, targets = _sides(spark, sf)
-    return decide.rule_matches_of_pairs(_top(spark, sf), s1, targets)
+    return decide.rule_matches_of_pairs(*_part_pairs(spark, sf))
 
 
-@_query("rule_matches", _with(_DOCS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, _RULE, recursive=True, end="select s1, cand, round(score, 6) as score from rm"))
+@_query("rule_matches", _with(_PARTS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, _RULE, recursive=True, end="select s1, cand, round(score, 6) as score from rm"))
 def _(spark, sf):
     return _rule(spark, sf).select("s1", "cand", F.round("score", 6).alias("score"))
 
 
-@_query("matches_list", _with(_DOCS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, _RULE, recursive=True, end="select s1, string_agg(cand, ',' order by score desc, cand) as matches from rm group by s1"))
+@_query("matches_list", _with(_PARTS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, _RULE, recursive=True, end="select s1, string_agg(cand, ',' order by score desc, cand) as matches from rm group by s1"))
 def _(spark, sf):
     return decide.match_lists_by_score(_rule(spark, sf)).select("s1", F.array_join("matches", ",").alias("matches"))
 
@@ -505,11 +514,11 @@ def _(spark, sf):
     return lists.select("s1", F.array_join(parse_ids(F.col("list")), "|").alias("ids"))
 
 
-@_query("sequence_ratios", _with(_DOCS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, recursive=True, end="select a as l, b as r, round(q, 6) as ratio from sq"))
+@_query("sequence_ratios", _with(_PARTS, _NORM, _BLOCK, _PAIRS, _SEQUENCE, recursive=True, end="select a as l, b as r, round(q, 6) as ratio from sq"))
 def _(spark, sf):
     """Ratios of all distinct name and address pairs among the candidates."""
-    s1, targets = _sides(spark, sf)
-    p = attach(_top(spark, sf).select("s1", "cand"), s1, targets)
+    top, s1, targets = _part_pairs(spark, sf)
+    p = attach(top.select("s1", "cand"), s1, targets)
     texts = p.select(F.col("l_name_norm").alias("l"), F.col("r_name_norm").alias("r")).union(p.select("l_address_norm", "r_address_norm")).distinct()
     return texts.select("l", "r", F.round(sim.sequence_ratio(F.col("l"), F.col("r")), 6).alias("ratio"))
 
@@ -528,11 +537,9 @@ def _(spark, sf):
 @_query("gbt_matches")
 def _(spark, sf):
     """Trees fitted on the candidates of four fifths of the records, as many rounds as the command
-    line's; the matches of the other fifth. True are pairs with equal name, address and country:
-    the text behind a record's fields is no feature."""
+    line's; the matches of the other fifth. True are parts with equal name, type and size."""
     path = scratch_path(spark, "labelled")
-    s1, targets = _sides(spark, sf)
-    learn.pair_labels(feature_frame(_top(spark, sf), s1, targets), adapters.equal_records(s1, targets)).write.parquet(path)
+    learn.pair_labels(feature_frame(*_part_pairs(spark, sf)), adapters.part_truth(spark, sf)).write.parquet(path)
     labelled = spark.read.parquet(path)
     fifth = "cast(conv(substring(md5(concat('42:', source1_entity_id)), 1, 4), 16, 10) as int) % 5"
     return learn.PairMatcher(decide.RULE_THRESHOLD).fit(labelled.where(f"{fifth} <> 0")).matches(labelled.where(f"{fifth} = 0"))

@@ -95,9 +95,10 @@ def test_the_registered_matcher_has_all_rounds(monkeypatch):
     monkeypatch.setattr(learn.PairMatcher, "fit", lambda self, labelled: rounds.append(self.rounds) or self)
     monkeypatch.setattr(learn.PairMatcher, "matches", lambda self, labelled: labelled)
     monkeypatch.setattr(learn, "pair_labels", lambda *a: Frame())
-    for name in ("scratch_path", "_sides", "_top", "feature_frame", "truth_pairs"):
-        monkeypatch.setattr(queries, name, lambda *a: (Frame(), Frame()) if len(a) == 2 else Frame())
-    monkeypatch.setattr(queries.adapters, "document_truth", lambda *a: Frame())
+    for name in ("scratch_path", "feature_frame"):
+        monkeypatch.setattr(queries, name, lambda *a: Frame())
+    monkeypatch.setattr(queries, "_part_pairs", lambda *a: (Frame(), Frame(), Frame()))
+    monkeypatch.setattr(queries.adapters, "part_truth", lambda *a: Frame())
     queries.QUERIES["gbt_matches"](Frame(), "")
     assert rounds == [120]
 
@@ -108,13 +109,11 @@ def test_ordered_lists(spark):
 
 
 def test_trees_find_held_out_matches(spark):
-    """Fitted on some records, the matcher finds the equal records of the others and little else."""
+    """Fitted on some parts, the matcher finds the true pairs of the others and little else."""
     from kinlink.plans import queries
 
     sf = queries._Place("/root/testdata/sf0.01")
-    s1, targets = queries._sides(spark, sf)
-    truth = queries.adapters.equal_records(s1, targets)
-    labelled = learn.pair_labels(feature_frame(queries._top(spark, sf), s1, targets), truth).cache()
+    labelled = learn.pair_labels(feature_frame(*queries._part_pairs(spark, sf)), queries.adapters.part_truth(spark, sf)).cache()
     fifth = "cast(conv(substring(md5(concat('42:', source1_entity_id)), 1, 4), 16, 10) as int) % 5"
     found = learn.PairMatcher(decide.RULE_THRESHOLD, rounds=25).fit(labelled.where(f"{fifth} <> 0")).matches(labelled.where(f"{fifth} = 0"))
     got, want = ({(r["s1"], r["cand"]) for r in d.select("s1", "cand").collect()} for d in (found, labelled.where(f"{fifth} = 0 and label = 1").select(F.col("source1_entity_id").alias("s1"), F.col("candidate_entity_id").alias("cand"))))
