@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .shared import materialise
 
-MARKS = r"^(?:[ \t]*>)+"
+#: Possessive, so that a line of any number of marks is matched without recursion.
+MARKS = r"^(?:[ \t]*+>)++"
 ATTRIBUTION = r"(?i)^\s*(on|am|le|el)\b.*(wrote|schrieb|écrit|escribió)\s*:\s*$"
 SENTENCE = r"[^.!?]+"
 PIECE_TURNS = 256

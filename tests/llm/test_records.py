@@ -125,3 +125,9 @@ def test_repeated_pages_keep_a_record_each(spark):
     rows = [(1, "u", same, ""), (1, "u", same, ""), (2, "u", same, ""), (2, "u", "other " * 40, "")]
     got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(spark.createDataFrame(rows, PAGES)).collect())
     assert got == [(1, "response", None), (1, "response", None), (2, "response", None), (2, "revisit", 1)]
+
+
+def test_a_line_of_very_many_marks(spark):
+    said = [(1, 0, "user", "Hello there."), (1, 1, "assistant", ">" * 100_000 + " hello there"), (1, 2, "user", "> " * 50_000 + "hello there")]
+    got = quotes.link_conversations(spark.createDataFrame(said, SCHEMA)).orderBy("turn").collect()
+    assert [(r["reply_to"], r["text"]) for r in got] == [(None, "Hello there."), (0, ""), (0, "")]
