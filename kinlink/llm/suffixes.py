@@ -314,7 +314,30 @@ def covered_offsets(data: np.ndarray, start: np.ndarray, left: np.ndarray, right
     return out
 
 
-FRAGMENT = [(8, True), (8, False), (4, False), (1, False), (1, False)]  # id, mark, position, left, right
+FRAGMENT = [(8, True), (8, False), (1, False), (1, False)]  # id, mark, left, right
+PLACE = [(4, True), (4, True)]  # number of a fragment, its position
+
+
+def _distinct(data: np.ndarray, px: K.Prefix, row: np.ndarray, lo: np.ndarray, p: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of a text's fragments of equal bytes around equal anchors, and the number of each fragment's one.
+
+    A text that repeats a few bytes has an anchor at every one of them, but few fragments.
+    Hashes find the equal ones and bytes confirm them.
+    """
+    order = np.lexsort((px.span(lo, hi), p - lo, hi - lo, row))
+    i, j = order[1:], order[:-1]
+    h = px.span(lo[order], hi[order])
+    same = (h[1:] == h[:-1]) & (row[i] == row[j]) & (p[i] - lo[i] == p[j] - lo[j]) & (hi[i] - lo[i] == hi[j] - lo[j])
+    for k in range(EXT + SPAN):
+        use = np.flatnonzero(same)
+        use = use[lo[i[use]] + k < hi[i[use]]]
+        if not len(use):
+            break
+        same[use[data[lo[i[use]] + k] != data[lo[j[use]] + k]]] = False
+    new = np.concatenate([[True], ~same])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _send_fragments(texts: DataFrame, buckets: int) -> DataFrame:
@@ -327,32 +350,41 @@ def _send_fragments(texts: DataFrame, buckets: int) -> DataFrame:
                     continue
                 p = np.concatenate(got) + off[row]
                 lo, hi = np.maximum(p - EXT, off[row]), np.minimum(p + SPAN, off[row + 1])
-                to = (K.mix(K.Prefix(data).span(p, p + GRAM)) >> K.U(16)) % K.U(buckets)
+                px = K.Prefix(data)
+                to = (K.mix(px.span(p, p + GRAM)) >> K.U(16)) % K.U(buckets)
                 ids, marks = (rb.column(c).slice(a, b - a).to_numpy(zero_copy_only=False).astype("<i8") for c in ("_id", "_mark"))
-                order = np.argsort(to, kind="stable")
+                one, number = _distinct(data, px, row, lo, p, hi)
+                order = np.lexsort((p, number, to))
                 cut = np.searchsorted(to[order], np.arange(buckets + 1))
                 rows = []
                 for j in range(buckets):
                     e = order[cut[j] : cut[j + 1]]
                     if len(e):
-                        size = hi[e] - lo[e]
-                        at = np.repeat(lo[e] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                        rows.append((j, pack([(ids[row[e]].view("<u8"), 8, True), (marks[row[e]].view("<u8"), 8, False), (p[e] - off[row[e]], 4, False), (p[e] - lo[e], 1, False), (hi[e] - p[e] - GRAM, 1, False)]),
-                                     zstandard.ZstdCompressor(level=1).compress(data[at].tobytes())))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.binary(), pa.binary()], strict=True)], ["bucket", "head", "bytes"])
+                        some, at = np.unique(number[e], return_inverse=True)
+                        f = one[some]
+                        size = hi[f] - lo[f]
+                        copied = np.repeat(lo[f] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                        rows.append((j, pack([(ids[row[f]].view("<u8"), 8, True), (marks[row[f]].view("<u8"), 8, False), (p[f] - lo[f], 1, False), (hi[f] - p[f] - GRAM, 1, False)]),
+                                     pack([(at, 4, True), (p[e] - off[row[e]], 4, True)]), zstandard.ZstdCompressor(level=1).compress(data[copied].tobytes())))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 3], strict=True)], ["bucket", "head", "places", "bytes"])
 
-    return texts.mapInArrow(run, "bucket int, head binary, bytes binary")
+    return texts.mapInArrow(run, "bucket int, head binary, places binary, bytes binary")
 
 
 def _sort_fragments(table: pa.Table) -> pa.Table:
     """(_id, _mark, spans): covered intervals of each text, as start and end positions."""
     heads = [unpack(x, FRAGMENT) for x in table.column("head").to_pylist()]
     data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for x in table.column("bytes").to_pylist()), np.uint8)
-    ids, marks, pos, left, right = (np.concatenate([h[j] for h in heads]).view("<i8") for j in range(5))
+    ids, marks, left, right = (np.concatenate([h[j] for h in heads]).view("<i8") for j in range(4))
+    places = [unpack(x, PLACE) for x in table.column("places").to_pylist()]
+    ahead = np.cumsum([0, *(len(h[0]) for h in heads)])
+    of = np.concatenate([x[0].view("<i8") + n for x, n in zip(places, ahead, strict=False)])
+    pos = np.concatenate([x[1].view("<i8") for x in places])
     size = left + GRAM + right
     hit = covered_offsets(data, np.cumsum(size) - size, left, right, ids)
-    f, o = np.nonzero(hit)
-    begin = pos[f] - o
+    some = np.flatnonzero(hit.any(1)[of])
+    f, o = np.nonzero(hit[of[some]])
+    f, begin = of[some][f], pos[some][f] - o
     order = np.lexsort((begin, marks[f], ids[f]))
     f, begin = f[order], begin[order]
     i, m = ids[f], marks[f]

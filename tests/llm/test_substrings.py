@@ -43,6 +43,13 @@ def test_bytes_removed_equal_brute_force(spark):
     assert sorted((tuple(r) for r in out.collect()), key=str) == brute(docs)
 
 
+def test_texts_that_repeat_a_few_bytes(spark):
+    units = ("a", "ab", "abc", "- ", "x" * 30 + "y")
+    docs = [(i, (u * 400)[:n] + end) for i, (u, n, end) in enumerate((u, n, end) for u in units for n, end in ((300, ""), (290, "b"), (120, "q"), (300, "")))]
+    got = sorted((tuple(r) for r in suffixes.dedup_substrings(spark.createDataFrame(docs, SCHEMA)).collect()), key=str)
+    assert got == brute(docs)
+
+
 def test_spans_and_empty_table(spark):
     d = spark.createDataFrame([(1, "q" * 60), (2, "zz" + "q" * 55 + "é")], SCHEMA)
     got = {r["doc_id"]: r["spans"] for r in suffixes.dedup_substrings(d, with_spans=True).collect()}
