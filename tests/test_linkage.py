@@ -24,6 +24,54 @@ def test_candidates_count_tokens_within_a_country_and_break_ties_by_id(sides):
     assert blocking.candidates(*sides, k=-1).count() == 4
 
 
+def _shuffled(spark):
+    """Rows written to shuffles by all stages so far."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_pairs_of_hot_tokens_are_not_shuffled(spark):
+    """1000 records look for candidates among 2000; all share some words."""
+    make = lambda n, s: spark.range(n).select(F.concat(F.lit(f"S{s}-"), F.format_string("%04d", "id")).alias("entity_id"), F.lit("north south east west").alias("business_name"), F.concat(F.lit("own"), F.col("id") % 500).alias("business_address"), F.lit("US").alias("country"))
+    before = _shuffled(spark)
+    rows = blocking.candidates(make(1000, 1), make(2000, 2), 5).collect()
+    assert _shuffled(spark) - before < 50_000
+    got = {}
+    for r in rows:
+        got.setdefault(r["s1"], []).append((r["rank"], r["cand"], r["overlap"]))
+    assert len(got) == 1000
+    for s1, found in got.items():
+        i = int(s1[3:]) % 500
+        same = [i + 500 * j for j in range(4)]
+        others = [c for c in range(5) if c not in same][:1]
+        assert [c for _, c, _ in sorted(found)] == [f"S2-{c:04d}" for c in same + others] and [o for *_, o in sorted(found)] == [5, 5, 5, 5, 4]
+
+
+@pytest.mark.parametrize("k", [1, 3, 250, None])
+def test_blocks_count_and_rank_as_all_pairs_do(spark, monkeypatch, k):
+    """Small blocks, copies, ties, rare and frequent words against plain sets."""
+    import random
+
+    from kinlink.operators import overlap
+
+    monkeypatch.setattr(overlap, "LEFT_RECORDS", 7)
+    monkeypatch.setattr(overlap, "RIGHT_RECORDS", 11)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.sample(words[: rng.choice((4, 12, 60))], rng.randint(0, 4))) for _ in range(40)]
+    made = lambda s, n: [(f"S{s}-{i}", rng.choice(texts), rng.choice(texts), rng.choice(("US", "DE", None))) for i in range(n)]
+    one, two = made(1, 60), made(2, 90)
+    bag = lambda r: {w for w in f"{r[1]} {r[2]}".split() if len(w) > 1}
+    want = set()
+    for a in one:
+        found = sorted((-len(bag(a) & bag(b)), b[0]) for b in two if a[3] and a[3] == b[3] and bag(a) & bag(b))
+        want |= {(a[0], c, -o, i + 1) for i, (o, c) in enumerate(found[:k])}
+    got = [tuple(r) for r in blocking.candidates(spark.createDataFrame(one, COLUMNS), spark.createDataFrame(two, COLUMNS), k).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_every_record_is_in_the_candidate_map(sides):
     got = {r["s1"]: r["candidates"] for r in blocking.candidate_map(sides[0], blocking.candidates(*sides)).collect()}
     assert got == {"S1-1": ["S2-1", "S3-2", "S2-2"], "S1-2": [], "S1-3": ["S3-1"]}

@@ -4,7 +4,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from kinlink.functions.text import ABBREVIATIONS, LEGAL_SUFFIXES, add_normalized_columns, blank, blocking_tokens, normalize_text, parse_ids, transliterate
+from kinlink.functions.text import ABBREVIATIONS, LEGAL_SUFFIXES, add_normalized_columns, blank, blocking_tokens, normalize_text, parse_ids, token_sets, transliterate
 
 
 def decomposed(text):
@@ -58,3 +58,15 @@ def test_tokens_ids_and_blanks(spark):
 def test_many_legal_forms_at_the_end(spark):
     d = spark.createDataFrame([("Acme" + " ltd llc" * 20_000,), ("Acme ltd ltdx",), ("ltd",), ("Acme co company",)], "text string")
     assert [r[0] for r in d.select(normalize_text(F.col("text"), True)).collect()] == ["acme", "acme limited ltdx", "", "acme"]
+
+
+def test_token_sets_equal_the_native_tokens(spark):
+    """All code points between letters, expansions, ampersands and nulls."""
+    texts = ["a" + "".join(f"{chr(c)}b{chr(c)} c{c % 7}{chr(c)}" for c in range(lo, lo + 0x400) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x30000, 0x400)]
+    texts += ["Acme LLC & Co. st ST x", "", "a b", "R&D ave.", None]
+    rows = [(str(i), t, "Ltd caf\u00e9" if i % 2 else "", "US") for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")
+    r = add_normalized_columns(d)
+    want = {x["entity_id"]: None if x["t"] is None else sorted(x["t"]) for x in r.select("entity_id", blocking_tokens(F.col("name_tokens"), F.col("address_tokens")).alias("t")).collect()}
+    got = {x["entity_id"]: None if x["bag"] is None else x["bag"].split() for x in d.mapInArrow(token_sets, "entity_id string, country string, size int, bag string").collect()}
+    assert got == want
