@@ -166,3 +166,23 @@ def test_trees_find_held_out_matches(spark):
     found = learn.PairMatcher(decide.RULE_THRESHOLD, rounds=25).fit(labelled.where(f"{fifth} <> 0")).matches(labelled.where(f"{fifth} = 0"))
     got, want = ({(r["s1"], r["cand"]) for r in d.select("s1", "cand").collect()} for d in (found, labelled.where(f"{fifth} = 0 and label = 1").select(F.col("source1_entity_id").alias("s1"), F.col("candidate_entity_id").alias("cand"))))
     assert want and got == want
+
+
+@pytest.mark.parametrize("name", ["blocking_topk_ties", "country_match", "feature_frame_sql", "feature_frame"])
+def test_copies_of_parts_are_compared_once(spark, tmp_path, name):
+    """1500 parts of 10 texts: rows equal the SQL's, and far fewer rows than pairs are shuffled."""
+    import duckdb
+
+    from kinlink.plans import queries
+
+    sf = str(tmp_path)
+    spark.range(1500).selectExpr("id as p_partkey", "concat('Acme Corp ', id % 5, ' bolt') as p_name", "concat('Brand#', id % 2) as p_brand", "if(id % 5 = 0, 'LARGE', 'SMALL') as p_type", "cast(7 as int) as p_size").write.parquet(f"{sf}/part.parquet")
+    before = _shuffled(spark)
+    df = queries.QUERIES[name](spark, sf)
+    own = [tuple(r) for r in df.select(*sorted(df.columns)).collect()]
+    assert _shuffled(spark) - before < 20_000 < len(own)
+    con = duckdb.connect()
+    con.execute(f"create view part as select * from '{sf}/part.parquet/*.parquet'")
+    r = con.execute(queries.ORACLE_SQL[name])
+    names = [x[0] for x in r.description]
+    assert sorted(own) == sorted(tuple(x[names.index(c)] for c in sorted(names)) for x in r.fetchall())
