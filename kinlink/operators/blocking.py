@@ -122,9 +122,14 @@ def candidates(source1: DataFrame, targets: DataFrame, k: int | None = TOP_K_API
     """
     if k is None or k < 0:
         return top_candidates(all_overlaps(source1, targets), k)
-    own = classes(numbered(source1))
-    ranked = class_candidates(own, classes(numbered(targets)), k)
-    return own.select("class", F.col("entity_id").alias("s1")).join(ranked, "class").select("s1", "cand", "overlap", "rank")
+    return class_pairs(numbered(source1), numbered(targets), k).select("s1", "cand", "overlap", "rank")
+
+
+def class_pairs(source1: DataFrame, targets: DataFrame, k: int, key: tuple[str, ...] = ()) -> DataFrame:
+    """(s1, cand, overlap, rank, class, other): the first k candidates of numbered records, with both sides' ``classes`` by ``key``."""
+    own = classes(source1, key)
+    ranked = class_candidates(own, classes(targets, key), k)
+    return own.select("class", F.col("entity_id").alias("s1")).join(ranked, "class").select("s1", "cand", "overlap", "rank", "class", "other")
 
 
 def candidate_map(source1: DataFrame, ranked: DataFrame) -> DataFrame:

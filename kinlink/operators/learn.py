@@ -19,13 +19,13 @@ def pair_labels(pairs: DataFrame, truth_pairs: DataFrame, left: str = "source1_e
     return pairs.join(t, [left, right], "left").withColumn("label", F.coalesce("_hit", F.lit(0))).drop("_hit")
 
 
-def _classifier(rounds: int):
+def _classifier(rounds: int, weighted: bool = False):
     """The contract's trees: the native library's estimator where it is installed, else Spark's."""
     try:
         from xgboost.spark import SparkXGBClassifier
     except ImportError:
-        return GBTClassifier(maxDepth=5, stepSize=0.08, subsamplingRate=0.8, featureSubsetStrategy="0.9", maxBins=64, maxIter=rounds, seed=42, labelCol="label")
-    return SparkXGBClassifier(features_col="features", label_col="label", max_depth=5, learning_rate=0.08, subsample=0.8, colsample_bytree=0.9, reg_lambda=2.0, max_bin=64, tree_method="hist", n_estimators=rounds, random_state=42)
+        return GBTClassifier(**({"weightCol": "weight"} if weighted else {}), maxDepth=5, stepSize=0.08, subsamplingRate=0.8, featureSubsetStrategy="0.9", maxBins=64, maxIter=rounds, seed=42, labelCol="label")
+    return SparkXGBClassifier(**({"weight_col": "weight"} if weighted else {}), features_col="features", label_col="label", max_depth=5, learning_rate=0.08, subsample=0.8, colsample_bytree=0.9, reg_lambda=2.0, max_bin=64, tree_method="hist", n_estimators=rounds, random_state=42)
 
 
 class PairMatcher:
@@ -38,8 +38,9 @@ class PairMatcher:
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features)
 
     def fit(self, labelled: DataFrame) -> PairMatcher:
-        """labelled: a feature frame with label (0 or 1)."""
-        self.model = _classifier(self.rounds).fit(self._vectors(labelled).select("features", F.col("label").cast("double").alias("label")))
+        """labelled: a feature frame with label (0 or 1), and weight if a row stands for several pairs."""
+        weights = [F.col("weight").cast("double").alias("weight")] if "weight" in labelled.columns else []
+        self.model = _classifier(self.rounds, bool(weights)).fit(self._vectors(labelled).select("features", F.col("label").cast("double").alias("label"), *weights))
         return self
 
     def predict_proba(self, features: DataFrame) -> DataFrame:

@@ -25,9 +25,14 @@ def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as records with many ties."""
+    return part_kinds(spark, sf_dir).drop("kind")
+
+
+def part_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of part_records with the type, which the truth compares whatever the brand."""
     p = spark.read.parquet(f"{sf_dir}/part.parquet")
     return p.select(F.concat(F.lit("S"), (F.col("p_partkey") % 3 + 1).cast("string"), F.lit("-"), F.col("p_partkey").cast("string")).alias("entity_id"),
-                    F.col("p_name").alias("business_name"), F.concat("p_brand", F.lit(" "), "p_type").alias("business_address"), F.col("p_size").cast("string").alias("country"))
+                    F.col("p_name").alias("business_name"), F.concat("p_brand", F.lit(" "), "p_type").alias("business_address"), F.col("p_size").cast("string").alias("country"), F.col("p_type").alias("kind"))
 
 
 def source(records: DataFrame, *numbers: int) -> DataFrame:

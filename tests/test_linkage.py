@@ -186,3 +186,24 @@ def test_copies_of_parts_are_compared_once(spark, tmp_path, name):
     r = con.execute(queries.ORACLE_SQL[name])
     names = [x[0] for x in r.description]
     assert sorted(own) == sorted(tuple(x[names.index(c)] for c in sorted(names)) for x in r.fetchall())
+
+
+def test_trees_see_each_pair_of_texts_once(spark, tmp_path, monkeypatch):
+    """1500 parts of 10 texts: rows are as many as text pairs, weights as training pairs; all held-out true pairs return."""
+    from kinlink.plans import queries
+
+    sf = str(tmp_path)
+    spark.range(1500).selectExpr("id as p_partkey", "concat('Acme Corp ', id % 5, ' bolt') as p_name", "concat('Brand#', id % 2) as p_brand", "if(id % 5 = 0, 'LARGE', 'SMALL') as p_type", "cast(7 as int) as p_size").write.parquet(f"{sf}/part.parquet")
+    made, fit = learn._classifier, learn.PairMatcher.fit
+    seen = []
+    monkeypatch.setattr(learn, "_classifier", lambda rounds, *a: made(5, *a))
+    monkeypatch.setattr(learn.PairMatcher, "fit", lambda self, labelled: seen.append(labelled) or fit(self, labelled))
+    got = {(r["s1"], r["cand"]) for r in queries.QUERIES["gbt_matches"](spark, sf).collect()}
+    fifth = "cast(conv(substring(md5(concat('42:', s1)), 1, 4), 16, 10) as int) % 5"
+    pairs = queries.QUERIES["blocking_topk_ties"](spark, sf).select("s1", "cand").cache()
+    true = pairs.join(queries.adapters.part_truth(spark, sf), ["s1", "cand"])
+    assert seen[0].count() <= 100
+    assert seen[0].selectExpr("sum(weight)").first()[0] == pairs.where(f"{fifth} <> 0").count() > 20_000
+    assert seen[0].selectExpr("sum(weight * label)").first()[0] == true.where(f"{fifth} <> 0").count()
+    want = {(r["s1"], r["cand"]) for r in true.where(f"{fifth} = 0").collect()}
+    assert want and got == want
