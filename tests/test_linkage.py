@@ -72,6 +72,30 @@ def test_blocks_count_and_rank_as_all_pairs_do(spark, monkeypatch, k):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_all_pairs_leave_python_as_arrays(spark, monkeypatch):
+    """Records that share most words (up to 699), others that share one with one record, or nothing; dense pairs are no rows of Python's."""
+    from kinlink.operators import overlap
+
+    seen, real = spark.sparkContext.accumulator(0), overlap._all_of
+
+    def counted(batches):
+        for b in real(batches):
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(overlap, "_all_of", counted)
+    text = lambda n: " ".join(f"w{x}" for x in range(n))
+    one = [(f"S1-{i}", text(i * 7 % 700), "", "US") for i in range(200)] + [(f"S1-x{i}", f"only{i}", "", "DE") for i in range(100)]
+    two = [(f"S2-{j}", text(j * 13 % 700), "", "US") for j in range(300)] + [(f"S2-x{j}", f"only{j} else", "", "DE") for j in range(50, 120)]
+    want = {(f"S1-{i}", f"S2-{j}", min(i * 7 % 700, j * 13 % 700)) for i in range(200) for j in range(300) if i * 7 % 700 and j * 13 % 700}
+    want |= {(f"S1-x{i}", f"S2-x{i}", 1) for i in range(50, 100)}
+    found = blocking.all_overlaps(spark.createDataFrame(one, COLUMNS), spark.createDataFrame(two, COLUMNS))
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert seen.value < len(want) / 20
+    assert found.dtypes == [("s1", "string"), ("cand", "string"), ("overlap", "bigint")]
+
+
 def test_every_record_is_in_the_candidate_map(sides):
     got = {r["s1"]: r["candidates"] for r in blocking.candidate_map(sides[0], blocking.candidates(*sides)).collect()}
     assert got == {"S1-1": ["S2-1", "S3-2", "S2-2"], "S1-2": [], "S1-3": ["S3-1"]}
