@@ -15,7 +15,7 @@ def match_arrivals(arrivals: DataFrame, index: RecordIndex, out: str, checkpoint
     """Write (s1, cand, score, batch_id) of each micro-batch to ``out``; a repeated batch overwrites its own folder."""
 
     def match(batch: DataFrame, batch_id: int) -> None:
-        records = numbered(batch)
+        records = numbered(batch, whole=True)
         pairs = candidates(records, index.records, k)
         found = rule_matches_of_pairs(pairs, records, index.records, threshold)
         found.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
